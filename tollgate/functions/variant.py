@@ -51,29 +51,36 @@ def is_present(v: Column) -> Column:
     return v.isNotNull() & ~F.is_variant_null(v)
 
 
-def is_object(v: Column) -> Column:
-    return is_present(v) & vtype(v).startswith("OBJECT")
+def is_object(v: Column, t: Column | None = None) -> Column:
+    t = vtype(v) if t is None else t
+    return is_present(v) & t.startswith("OBJECT")
 
 
-def is_array(v: Column) -> Column:
-    return is_present(v) & vtype(v).startswith("ARRAY")
+def is_array(v: Column, t: Column | None = None) -> Column:
+    t = vtype(v) if t is None else t
+    return is_present(v) & t.startswith("ARRAY")
 
 
-def is_number(v: Column) -> Column:
-    t = vtype(v)
+def numeric_type(t: Column) -> Column:
     cond = F.lit(False)
     for p in NUMERIC_PREFIXES:
         cond = cond | t.startswith(p)
-    return is_present(v) & cond
+    return cond
+
+
+def is_number(v: Column, t: Column | None = None) -> Column:
+    t = vtype(v) if t is None else t
+    return is_present(v) & numeric_type(t)
 
 
-def py_text(v: Column) -> Column:
+def py_text(v: Column, t: Column | None = None) -> Column:
     """Python ``str()`` of a decoded JSON value; null for missing or JSON null.
 
     Strings as they are, booleans ``True``/``False``, numbers as text,
     objects and arrays as compact JSON (Python would print its repr).
+    ``t`` is the value's type when already computed.
     """
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     as_text = F.try_variant_get(v, "$", "string")
     return F.when(~is_present(v), F.lit(None).cast("string")).when(
         t == "BOOLEAN", F.initcap(as_text)
@@ -87,13 +94,15 @@ def nested(v: Column, *keys: str, default: str | None = None) -> Column:
     return F.coalesce(val, F.lit(default)) if default is not None else val
 
 
-def truthy(v: Column) -> Column:
+def truthy(v: Column, t: Column | None = None) -> Column:
     """Python truthiness of a decoded JSON value (missing/null -> false)."""
-    j = F.to_json(v)
-    t = vtype(v)
-    zero_number = ~j.startswith('"') & (F.try_variant_get(v, "$", "double") == 0)
-    falsy = j.isin('""', "[]", "{}", "false") | (is_number(v) & zero_number)
-    return is_present(v) & ~F.coalesce(falsy, F.lit(False)) & t.isNotNull()
+    t = vtype(v) if t is None else t
+    empty = (t == "STRING") & (F.try_variant_get(v, "$", "string") == "")
+    container = (t.startswith("ARRAY") | t.startswith("OBJECT")) & F.to_json(v).isin("[]", "{}")
+    false_ = (t == "BOOLEAN") & ~F.try_variant_get(v, "$", "boolean")
+    zero = numeric_type(t) & (F.try_variant_get(v, "$", "double") == 0)
+    falsy = F.coalesce(empty | container | false_ | zero, F.lit(False))
+    return is_present(v) & ~falsy
 
 
 def python_type_name(v: Column) -> Column:

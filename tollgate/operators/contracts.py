@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions import text as T
@@ -104,26 +104,89 @@ def _prefix(path: str, msg: Column) -> Column:
     return F.concat(F.lit(f"Field '{path}': "), msg)
 
 
-def _variant_field_errors(v: Column, f: Field, path: str) -> list[Column]:
-    """Errors of one field whose JSON value is ``v`` (SQL NULL = missing)."""
+class Nodes:
+    """Access to the JSON values of a record by key path.
+
+    ``Nodes(record)`` reads paths on the fly (one expression per use);
+    ``with_nodes`` materialises every path of a contract as columns first,
+    so each path is read, typed and turned into text once per row and the
+    later projections stay small enough for whole-stage code generation.
+    """
+
+    def __init__(self, record: Column | None = None):
+        self.record = record
+        self.cols: dict[tuple, tuple[str, str, str | None]] = {}
+
+    def v(self, keys: tuple) -> Column:
+        if keys in self.cols:
+            return F.col(self.cols[keys][0])
+        return V.get(self.record, *keys)
+
+    def t(self, keys: tuple) -> Column:
+        if keys in self.cols:
+            return F.col(self.cols[keys][1])
+        return V.vtype(self.v(keys))
+
+    def s(self, keys: tuple) -> Column:
+        if keys in self.cols and self.cols[keys][2]:
+            return F.col(self.cols[keys][2])
+        return V.py_text(self.v(keys), self.t(keys))
+
+
+def contract_paths(contract: Contract) -> list[tuple[tuple, Field]]:
+    """Every (key path, rule) of a contract, depth first, in order."""
+    out: list[tuple[tuple, Field]] = []
+
+    def walk(prefix: tuple, fields: tuple[Field, ...]):
+        for f in fields:
+            out.append((prefix + (f.name,), f))
+            walk(prefix + (f.name,), f.children)
+
+    walk((), contract.fields)
+    return out
+
+
+def with_nodes(df: DataFrame, record: str, contract: Contract, tag: str = "n") -> tuple[DataFrame, Nodes]:
+    """Add one column per contract path: value, then type and text.
+
+    Three narrow projections; helper columns are named ``__{tag}{i}_v/t/s``.
+    """
+    nodes = Nodes(F.col(record))
+    paths = contract_paths(contract)
+    names = {}
+    for i, (keys, f) in enumerate(paths):
+        names[keys] = (f"__{tag}{i}_v", f"__{tag}{i}_t", None if f.kind == "object" else f"__{tag}{i}_s")
+    df = df.select("*", *[V.get(F.col(record), *k).alias(n[0]) for k, n in names.items()])
+    df = df.select("*", *[V.vtype(F.col(n[0])).alias(n[1]) for n in names.values()])
+    df = df.select("*", *[V.py_text(F.col(n[0]), F.col(n[1])).alias(n[2]) for n in names.values() if n[2]])
+    nodes.cols = names
+    return df, nodes
+
+
+def node_columns(nodes: Nodes) -> list[str]:
+    return [c for n in nodes.cols.values() for c in n if c]
+
+
+def _variant_field_errors(nodes: Nodes, keys: tuple, f: Field) -> list[Column]:
+    """Errors of one field (SQL NULL value = missing key)."""
+    path = ".".join(keys)
+    v, t = nodes.v(keys), nodes.t(keys)
     missing = v.isNull()
     null = F.is_variant_null(v)
-    t = V.vtype(v)
     steps: list[tuple[Column, Column]] = []
     if f.required:
         steps.append((missing, F.lit(MSG_REQUIRED)))
     if f.kind == "object":
         steps += [(null, F.lit(MSG_NONE)), (~t.startswith("OBJECT"), F.lit(MSG_DICT))]
-        head = _chain(steps)
-        errs = [_prefix(path, head)] if head is not None else []
-        ok = V.is_object(v)
+        errs = [_prefix(path, _chain(steps))]
+        ok = V.is_object(v, t)
         for child in f.children:
-            for e in _variant_field_errors(V.get(v, child.name), child, f"{path}.{child.name}"):
+            for e in _variant_field_errors(nodes, keys + (child.name,), child):
                 errs.append(F.when(ok, e))
         return errs
-    s = V.py_text(v)
+    s = nodes.s(keys)
     if f.kind == "int":
-        numeric = V.is_number(v) | (t == "BOOLEAN")
+        numeric = V.numeric_type(t) | (t == "BOOLEAN")
         int_text = (t == "STRING") & s.rlike(PY_INT_TEXT)
         steps += [(null, F.lit(MSG_NONE)), (~(numeric | int_text), F.lit(MSG_INT))]
     elif f.none_as_empty:
@@ -143,12 +206,19 @@ def _column_field_errors(c: Column, f: Field, path: str) -> list[Column]:
 
 
 def _compact(errs: list[Column]) -> Column:
+    """Array of the non-null messages, in order.
+
+    ``array_except(.., [null])`` instead of ``filter(.., x -> x is not null)``:
+    higher-order functions are evaluated without code generation, together
+    with every expression below them; ``array_except`` is generated code.
+    Messages carry their field path, so its de-duplication never merges two.
+    """
     if not errs:
         return F.array().cast("array<string>")
-    return F.filter(F.array(*errs), lambda x: x.isNotNull())
+    return F.array_except(F.array(*errs), F.array(F.lit(None).cast("string")))
 
 
-def contract_errors(record: Column, contract: Contract) -> Column:
+def contract_errors(record: Column, contract: Contract, nodes: Nodes | None = None) -> Column:
     """C2/C3 on JSON: ``array<string>`` of failures for a VARIANT record.
 
     A record that is not an object gives the single root error
@@ -156,9 +226,10 @@ def contract_errors(record: Column, contract: Contract) -> Column:
     ``forbid_extra`` unknown keys add ``Field 'k': extra fields not
     permitted`` after the field errors, keys in sorted order.
     """
+    nodes = nodes or Nodes(record)
     errs: list[Column] = []
     for f in contract.fields:
-        errs += _variant_field_errors(V.get(record, f.name), f, f.name)
+        errs += _variant_field_errors(nodes, (f.name,), f)
     out = _compact(errs)
     if contract.forbid_extra:
         keys = F.map_keys(F.try_variant_get(record, "$", "map<string,variant>"))

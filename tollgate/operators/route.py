@@ -18,6 +18,8 @@ from tollgate.operators.contracts import (
     column_contract_errors,
     contract_errors,
     envelope_errors,
+    node_columns,
+    with_nodes,
 )
 from tollgate.operators.users import flatten_user, unwrap_response
 
@@ -39,17 +41,32 @@ def route(df: DataFrame, body_col: str = "body", keep_parsed: bool = False) -> D
     """One pass adding ``stage``, ``errors`` and ``user``.
 
     Order of checks: envelope (C1), contract 1 on ``results[0]`` (C2),
-    flatten (B11), contract 2 on the flat record (C3).  The parse happens
-    once (``parsed`` column); later projections reference it.
+    flatten (B11), contract 2 on the flat record (C3).  The body is parsed
+    once (``_parsed``); each JSON path of contract 1 is read once into a
+    helper column that the checks and the flattening share.  All steps are
+    narrow projections: no shuffle, rows in = rows out.
     """
-    parsed = df.withColumn("_parsed", V.parse_body(F.col(body_col)))
-    env = envelope_errors(F.col(body_col), F.col("_parsed"))
-    staged = parsed.withColumn("_env", env).withColumn("_user", unwrap_response(F.col("_parsed")))
-    staged = staged.withColumn(
-        "_c1", F.when(F.col("_env").isNull(), contract_errors(F.col("_user"), API_USER))
-    ).withColumn("user", F.when(F.col("_env").isNull(), F.struct(*flatten_user(F.col("_user")))))
-    c2 = column_contract_errors({c: F.col(f"user.{c}") for c in USER_COLUMNS}, USER)
-    staged = staged.withColumn("_c2", F.when(F.col("user").isNotNull() & (F.size("_c1") == 0), c2))
+    staged = df.select("*", V.parse_body(F.col(body_col)).alias("_parsed"))
+    staged = staged.select(
+        "*",
+        envelope_errors(F.col(body_col), F.col("_parsed")).alias("_env"),
+        unwrap_response(F.col("_parsed")).alias("_user"),
+    )
+    staged, nodes = with_nodes(staged, "_user", API_USER, tag="u")
+    # Flattened fields as top-level columns: later checks reference them as
+    # attributes, so no field expression is copied into another one.
+    flat = [f"__f_{c}" for c in USER_COLUMNS]
+    staged = staged.select(
+        "*",
+        F.when(F.col("_env").isNull(), contract_errors(F.col("_user"), API_USER, nodes)).alias("_c1"),
+        *[F.when(F.col("_env").isNull(), e).alias(n) for e, n in zip(flatten_user(F.col("_user"), nodes), flat)],
+    ).drop(*node_columns(nodes))
+    c2 = column_contract_errors({c: F.col(n) for c, n in zip(USER_COLUMNS, flat)}, USER)
+    staged = staged.select("*", F.when(F.col("_env").isNull() & (F.size("_c1") == 0), c2).alias("_c2"))
+    staged = staged.select(
+        *[c for c in staged.columns if c not in flat],
+        F.when(F.col("_env").isNull(), F.struct(*[F.col(n).alias(c) for c, n in zip(USER_COLUMNS, flat)])).alias("user"),
+    )
     stage = (
         F.when(F.col("_env").isNotNull(), F.lit("envelope"))
         .when(F.size("_c1") > 0, F.lit("contract"))
@@ -62,13 +79,28 @@ def route(df: DataFrame, body_col: str = "body", keep_parsed: bool = False) -> D
         .when(F.size("_c2") > 0, F.col("_c2"))
         .otherwise(F.array().cast("array<string>"))
     )
-    out = staged.withColumn("stage", stage).withColumn("errors", errors)
+    out = staged.select("*", stage.alias("stage"), errors.alias("errors"))
     drop = ["_env", "_user", "_c1", "_c2"] + ([] if keep_parsed else ["_parsed"])
     return out.drop(*drop)
 
 
+def materialize(routed: DataFrame, path: str) -> DataFrame:
+    """Write routed rows once, partitioned by ``stage``, and read them back.
+
+    Filters on ``stage`` over a lazy routed frame would be pushed below the
+    routing projections and re-evaluate the whole check inside the filter.
+    Over the written table they are partition pruning, the routing runs
+    once, and the lineage is cut (the path lives in the shared checkpoint
+    folder, so a lost executor does not lose it).  Streaming batches use
+    ``persist`` on the batch instead (see ``tollgate.streaming``).
+    """
+    routed.write.mode("overwrite").partitionBy("stage").parquet(path)
+    return routed.sparkSession.read.parquet(path)
+
+
 def accepted(routed: DataFrame) -> DataFrame:
-    """Accepted rows as the flat 11-column user table."""
+    """Accepted rows as the flat 11-column user table (use on a
+    materialized or persisted routed frame)."""
     return routed.where(F.col("stage") == "accepted").select("user.*")
 
 

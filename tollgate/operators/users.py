@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tollgate.functions.address import build_address
 from tollgate.functions.ids import stable_user_id
 from tollgate.functions.text import clean_email, clean_string
-from tollgate.functions.variant import get, nested, py_text
-from tollgate.operators.contracts import USER_COLUMNS
+from tollgate.functions.variant import get
+from tollgate.operators.contracts import USER_COLUMNS, Nodes
 
 
 def unwrap_response(parsed: Column) -> Column:
@@ -17,7 +17,7 @@ def unwrap_response(parsed: Column) -> Column:
     return get(parsed, "results", 0)
 
 
-def flatten_user(user: Column) -> list[Column]:
+def flatten_user(user: Column, nodes: Nodes | None = None) -> list[Column]:
     """The 11 flat string fields of a raw user (VARIANT), in order.
 
     Defaults only for null / missing values: names ``Unknown``, gender
@@ -25,19 +25,20 @@ def flatten_user(user: Column) -> list[Column]:
     empty (contract 2 rejects it).  The raw record is flattened, not the
     contract-1-normalised one (decision R1).
     """
-    registered = nested(user, "registered", "date", default="")
-    location = get(user, "location")
+    n = nodes or Nodes(user)
+    registered = F.coalesce(n.s(("registered", "date")), F.lit(""))
+    email = n.s(("email",))
     cols = {
-        "id": stable_user_id(py_text(get(user, "email")), registered),
-        "first_name": clean_string(nested(user, "name", "first"), "Unknown"),
-        "last_name": clean_string(nested(user, "name", "last"), "Unknown"),
-        "gender": F.lower(clean_string(py_text(get(user, "gender")), "other")),
-        "address": build_address(location),
-        "email": clean_email(py_text(get(user, "email"))),
-        "username": clean_string(nested(user, "login", "username"), ""),
-        "dob": clean_string(nested(user, "dob", "date"), ""),
+        "id": stable_user_id(email, registered),
+        "first_name": clean_string(n.s(("name", "first")), "Unknown"),
+        "last_name": clean_string(n.s(("name", "last")), "Unknown"),
+        "gender": F.lower(clean_string(n.s(("gender",)), "other")),
+        "address": build_address(None, n, ("location",)),
+        "email": clean_email(email),
+        "username": clean_string(n.s(("login", "username")), ""),
+        "dob": clean_string(n.s(("dob", "date")), ""),
         "registered_date": clean_string(registered, ""),
-        "phone": clean_string(py_text(get(user, "phone")), ""),
-        "picture": clean_string(nested(user, "picture", "medium"), ""),
+        "phone": clean_string(n.s(("phone",)), ""),
+        "picture": clean_string(n.s(("picture", "medium")), ""),
     }
     return [cols[name].alias(name) for name in USER_COLUMNS]

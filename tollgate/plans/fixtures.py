@@ -43,7 +43,7 @@ class Fixture:
         return " ".join(out)
 
     def duckdb_sql(self) -> str:
-        cols = ",\n  ".join(f"{_pick(e, 'duckdb')} AS {a}" for a, e in self.columns)
+        cols = ",\n  ".join(f'{_pick(e, "duckdb")} AS "{a}"' for a, e in self.columns)
         return f"SELECT\n  {cols}\n{self.source()}"
 
 

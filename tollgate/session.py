@@ -49,12 +49,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared directory (never reused)."""
-    base = shared_dir(spark)
-    if base.startswith("/") or base.startswith("file:"):
-        local = base[5:] if base.startswith("file:") else base
-        os.makedirs(local, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
+    """A new, unique (not yet existing) path below the shared directory."""
     import uuid
 
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/tollgate/{name}-{uuid.uuid4().hex}"
