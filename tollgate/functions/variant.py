@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A JSON text whose first non-blank character is "{" is an object.
@@ -19,6 +19,24 @@ def parse_body(text: Column | str) -> Column:
     return F.try_parse_json(_col(text))
 
 
+def computed_once(df: DataFrame, expr: Column, alias: str) -> DataFrame:
+    """Add ``expr`` as column ``alias``, evaluated exactly once per row.
+
+    Catalyst pushes a filter below the projection that defines a column by
+    copying the column's expression into the filter, and filters do not
+    share common sub-expressions: a parse used by five predicates would run
+    five times, then once more for the projection.  A value produced by a
+    one-element ``inline`` generator is a generator output, which filters
+    cannot be pushed beneath, so it is computed once and then referenced.
+    """
+    return df.select("*", F.inline(F.array(F.struct(expr.alias(alias)))))
+
+
+def with_parsed(df: DataFrame, text: str, alias: str = "_parsed") -> DataFrame:
+    """``df`` plus the JSON text column ``text`` parsed once into VARIANT."""
+    return computed_once(df, parse_body(F.col(text)), alias)
+
+
 def is_json_object_text(text: Column | str, parsed: Column) -> Column:
     """The body parsed and is a JSON object (checked on the text, no walk)."""
     return parsed.isNotNull() & _col(text).rlike(_OBJECT_TEXT)

@@ -116,6 +116,7 @@ class Nodes:
     def __init__(self, record: Column | None = None):
         self.record = record
         self.cols: dict[tuple, tuple[str, str, str | None]] = {}
+        self.extra: Column | None = None
 
     def v(self, keys: tuple) -> Column:
         if keys in self.cols:
@@ -232,13 +233,35 @@ def contract_errors(record: Column, contract: Contract, nodes: Nodes | None = No
         errs += _variant_field_errors(nodes, (f.name,), f)
     out = _compact(errs)
     if contract.forbid_extra:
-        keys = F.map_keys(F.try_variant_get(record, "$", "map<string,variant>"))
-        extra = F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in contract.keys()])))
-        out = F.concat(out, F.transform(extra, lambda k: F.concat(F.lit("Field '"), k, F.lit(f"': {MSG_EXTRA}"))))
+        extra = nodes.extra if getattr(nodes, "extra", None) is not None else unknown_keys(record, contract)
+        msgs = F.transform(extra, lambda k: F.concat(F.lit("Field '"), k, F.lit(f"': {MSG_EXTRA}")))
+        out = F.when(F.size(extra) > 0, F.concat(out, msgs)).otherwise(out)
     root = F.array(F.concat(F.lit(f"Field '__root__': {contract.name} expected dict not "), V.python_type_name(record)))
     return F.when(V.is_object(record), out).otherwise(root)
 
 
+def unknown_keys(record: Column, contract: Contract) -> Column:
+    """Keys of a JSON object that the contract does not know, sorted."""
+    keys = F.map_keys(F.try_variant_get(record, "$", "map<string,variant>"))
+    return F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in contract.keys()])))
+
+
+def check_contract(df: DataFrame, record: str, contract: Contract, out: str = "errors", tag: str = "c") -> DataFrame:
+    """Add ``out`` = the contract's failures for the VARIANT column ``record``.
+
+    Paths are read once into helper columns (``with_nodes``), unknown keys
+    are listed in their own column, then one projection builds the error
+    array; the helper columns are dropped again.
+    """
+    staged, nodes = with_nodes(df, record, contract, tag=tag)
+    helpers = node_columns(nodes)
+    if contract.forbid_extra:
+        staged = staged.select("*", unknown_keys(F.col(record), contract).alias(f"__{tag}_extra"))
+        nodes.extra = F.col(f"__{tag}_extra")
+        helpers.append(f"__{tag}_extra")
+    return staged.select("*", contract_errors(F.col(record), contract, nodes).alias(out)).drop(*helpers)
+
+
 def column_contract_errors(cols: dict[str, Column], contract: Contract) -> Column:
     """C3 on typed string columns (the flattened record): same messages."""
     errs: list[Column] = []

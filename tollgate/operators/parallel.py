@@ -1,0 +1,18 @@
+"""Spread CPU-heavy per-row work over the cluster's cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when the input has fewer partitions than cores.
+
+    Parsing and checking JSON costs far more per row than reading it, so a
+    small input stored as one row group (one scan task) would leave all but
+    one core idle.  A large table already scans as many splits as cores and
+    is returned unchanged (no shuffle at scale).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df

@@ -21,6 +21,7 @@ from tollgate.operators.contracts import (
     node_columns,
     with_nodes,
 )
+from tollgate.operators.parallel import spread_for_cpu
 from tollgate.operators.users import flatten_user, unwrap_response
 
 STAGES = ("accepted", "envelope", "contract", "transform")
@@ -46,7 +47,7 @@ def route(df: DataFrame, body_col: str = "body", keep_parsed: bool = False) -> D
     helper column that the checks and the flattening share.  All steps are
     narrow projections: no shuffle, rows in = rows out.
     """
-    staged = df.select("*", V.parse_body(F.col(body_col)).alias("_parsed"))
+    staged = V.with_parsed(spread_for_cpu(df), body_col, "_parsed")
     staged = staged.select(
         "*",
         envelope_errors(F.col(body_col), F.col("_parsed")).alias("_env"),

@@ -18,6 +18,7 @@ from tollgate.functions.address import build_address
 from tollgate.functions.ids import stable_user_id
 from tollgate.operators import contracts as C
 from tollgate.operators import route as R
+from tollgate.operators.parallel import spread_for_cpu
 from tollgate.operators.users import flatten_user, unwrap_response
 from tollgate.operators import deadletters as D
 from tollgate.operators import telemetry as TM
@@ -50,7 +51,7 @@ def routed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses with a ``results[0]`` (envelope passed), user as VARIANT."""
-    rr = FX.raw_responses(spark, sf_dir).select("response_id", "body", V.parse_body("body").alias("p"))
+    rr = V.with_parsed(spread_for_cpu(FX.raw_responses(spark, sf_dir)).select("response_id", "body"), "body", "p")
     rr = rr.where(C.envelope_errors(F.col("body"), F.col("p")).isNull())
     return rr.select("response_id", unwrap_response(F.col("p")).alias("u"))
 
@@ -80,10 +81,8 @@ def envelope_errors(spark, sf_dir):
 
 @query
 def api_contract_errors(spark, sf_dir):
-    errs = C.contract_errors(F.col("u"), C.API_USER)
-    return _users(spark, sf_dir).select(
-        "response_id", F.size(errs).alias("n_errors"), F.array_join(errs, " | ").alias("errors")
-    )
+    checked = C.check_contract(_users(spark, sf_dir), "u", C.API_USER, out="e")
+    return checked.select("response_id", F.size("e").alias("n_errors"), F.array_join("e", " | ").alias("errors"))
 
 
 @query
@@ -92,11 +91,11 @@ def user_contract_errors(spark, sf_dir):
     keys included."""
     from tollgate.sources.messages import message_text
 
-    msgs = FX.user_messages(spark, sf_dir).select("partition", "offset", message_text().alias("t"))
-    v = V.parse_body(F.col("t"))
-    errs = C.contract_errors(v, C.USER)
-    return msgs.select(
-        "partition", "offset", F.size(errs).alias("n_errors"), F.array_join(errs, " | ").alias("errors")
+    msgs = spread_for_cpu(FX.user_messages(spark, sf_dir)).select("partition", "offset", message_text().alias("t"))
+    msgs = V.with_parsed(msgs, "t", "v").drop("t")
+    checked = C.check_contract(msgs, "v", C.USER, out="e")
+    return checked.select(
+        "partition", "offset", F.size("e").alias("n_errors"), F.array_join("e", " | ").alias("errors")
     )
 
 
@@ -156,7 +155,7 @@ def postcode_text(spark, sf_dir):
 
 # --------------------------------------------------------------------------- B1, B2, A2, A4-A9
 def _decoded(spark, sf_dir) -> DataFrame:
-    return M.decode_messages(FX.user_messages(spark, sf_dir), keep=("partition", "offset", "timestamp"))
+    return M.decode_messages(spread_for_cpu(FX.user_messages(spark, sf_dir)), keep=("partition", "offset", "timestamp"))
 
 
 @query

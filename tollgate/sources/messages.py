@@ -137,7 +137,8 @@ def decode_messages(df: DataFrame, schema: T.StructType = USER_SCHEMA, keep: tup
     """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     data = F.from_json(message_text(), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select(*keep, data.alias("data")).select(
+    # decoded once per row even when callers filter on the decoded fields
+    return V.computed_once(df.select(*keep, "value"), data, "data").select(
         *keep, *[F.col(f"data.{f.name}").alias(f.name) for f in schema.fields],
         F.col(f"data.{CORRUPT}").alias(CORRUPT), F.col("data").isNull().alias("_no_data"),
     )
@@ -166,8 +167,7 @@ def read_dead_letters(df: DataFrame) -> DataFrame:
     for a value that is not a JSON object or whose retry count is not a
     number; such rows keep their position but carry no fields.
     """
-    v = V.parse_body(message_text())
-    staged = df.select("partition", "offset", message_text().alias("_text"), v.alias("_v"))
+    staged = V.with_parsed(df.select("partition", "offset", message_text().alias("_text")), "_text", "_v")
 
     def txt(*keys):
         return V.py_text(V.get(F.col("_v"), *keys))
