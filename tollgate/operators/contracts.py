@@ -147,20 +147,46 @@ def contract_paths(contract: Contract) -> list[tuple[tuple, Field]]:
     return out
 
 
-def with_nodes(df: DataFrame, record: str, contract: Contract, tag: str = "n") -> tuple[DataFrame, Nodes]:
-    """Add one column per contract path: value, then type and text.
+_CACHE: dict = {}
 
-    Three narrow projections; helper columns are named ``__{tag}{i}_v/t/s``.
+
+def cached(key: tuple, build: Callable[[], object]):
+    """Compiled expressions, reused within one Spark application.
+
+    Building a large expression costs one JVM round trip per operator; the
+    result depends only on column names, so it is built once per key.
     """
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    full = (sc.applicationId if sc is not None else None,) + key
+    if full not in _CACHE:
+        _CACHE[full] = build()
+    return _CACHE[full]
+
+
+def _node_projections(record: str, contract: Contract, tag: str):
     nodes = Nodes(F.col(record))
-    paths = contract_paths(contract)
     names = {}
-    for i, (keys, f) in enumerate(paths):
+    for i, (keys, f) in enumerate(contract_paths(contract)):
         names[keys] = (f"__{tag}{i}_v", f"__{tag}{i}_t", None if f.kind == "object" else f"__{tag}{i}_s")
-    df = df.select("*", *[V.get(F.col(record), *k).alias(n[0]) for k, n in names.items()])
-    df = df.select("*", *[V.vtype(F.col(n[0])).alias(n[1]) for n in names.values()])
-    df = df.select("*", *[V.py_text(F.col(n[0]), F.col(n[1])).alias(n[2]) for n in names.values() if n[2]])
     nodes.cols = names
+    steps = [
+        [V.get(F.col(record), *k).alias(n[0]) for k, n in names.items()],
+        [V.vtype(F.col(n[0])).alias(n[1]) for n in names.values()],
+        [V.py_text(F.col(n[0]), F.col(n[1])).alias(n[2]) for n in names.values() if n[2]],
+    ]
+    return steps, nodes
+
+
+def with_nodes(df: DataFrame, record: str, contract: Contract, tag: str = "n") -> tuple[DataFrame, Nodes]:
+    """Add one column per contract path: value, then type and text.
+
+    Three narrow projections; helper columns are named ``__{tag}{i}_v/t/s``.
+    """
+    steps, nodes = cached(("nodes", record, contract.name, tag), lambda: _node_projections(record, contract, tag))
+    for cols in steps:
+        df = df.select("*", *cols)
     return df, nodes
 
 
@@ -256,10 +282,13 @@ def check_contract(df: DataFrame, record: str, contract: Contract, out: str = "e
     staged, nodes = with_nodes(df, record, contract, tag=tag)
     helpers = node_columns(nodes)
     if contract.forbid_extra:
-        staged = staged.select("*", unknown_keys(F.col(record), contract).alias(f"__{tag}_extra"))
+        extra = cached(("extra", record, contract.name, tag),
+                       lambda: unknown_keys(F.col(record), contract).alias(f"__{tag}_extra"))
+        staged = staged.select("*", extra)
         nodes.extra = F.col(f"__{tag}_extra")
         helpers.append(f"__{tag}_extra")
-    return staged.select("*", contract_errors(F.col(record), contract, nodes).alias(out)).drop(*helpers)
+    errs = cached(("errors", record, contract.name, tag, out), lambda: contract_errors(F.col(record), contract, nodes).alias(out))
+    return staged.select("*", errs).drop(*helpers)
 
 
 def column_contract_errors(cols: dict[str, Column], contract: Contract) -> Column:

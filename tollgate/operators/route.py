@@ -15,6 +15,8 @@ from tollgate.operators.contracts import (
     API_USER,
     USER,
     USER_COLUMNS,
+    _node_projections,
+    cached,
     column_contract_errors,
     contract_errors,
     envelope_errors,
@@ -48,26 +50,34 @@ def route(df: DataFrame, body_col: str = "body", keep_parsed: bool = False) -> D
     narrow projections: no shuffle, rows in = rows out.
     """
     staged = V.with_parsed(spread_for_cpu(df), body_col, "_parsed")
-    staged = staged.select(
-        "*",
+    steps = cached(("route", body_col), lambda: _route_steps(body_col))
+    staged = staged.select("*", *steps["env"])
+    staged, nodes = with_nodes(staged, "_user", API_USER, tag="u")
+    staged = staged.select("*", *steps["c1_flat"]).drop(*node_columns(nodes))
+    staged = staged.select("*", steps["c2"])
+    staged = staged.select(*[c for c in staged.columns if c not in steps["flat"]], steps["user"])
+    out = staged.select("*", *steps["final"])
+    drop = ["_env", "_user", "_c1", "_c2"] + ([] if keep_parsed else ["_parsed"])
+    return out.drop(*drop)
+
+
+def _route_steps(body_col: str) -> dict:
+    """The routing projections as expression lists (built once, see ``cached``)."""
+    _, nodes = cached(("nodes", "_user", API_USER.name, "u"), lambda: _node_projections("_user", API_USER, "u"))
+    env = [
         envelope_errors(F.col(body_col), F.col("_parsed")).alias("_env"),
         unwrap_response(F.col("_parsed")).alias("_user"),
-    )
-    staged, nodes = with_nodes(staged, "_user", API_USER, tag="u")
+    ]
     # Flattened fields as top-level columns: later checks reference them as
     # attributes, so no field expression is copied into another one.
     flat = [f"__f_{c}" for c in USER_COLUMNS]
-    staged = staged.select(
-        "*",
+    c1_flat = [
         F.when(F.col("_env").isNull(), contract_errors(F.col("_user"), API_USER, nodes)).alias("_c1"),
         *[F.when(F.col("_env").isNull(), e).alias(n) for e, n in zip(flatten_user(F.col("_user"), nodes), flat)],
-    ).drop(*node_columns(nodes))
+    ]
     c2 = column_contract_errors({c: F.col(n) for c, n in zip(USER_COLUMNS, flat)}, USER)
-    staged = staged.select("*", F.when(F.col("_env").isNull() & (F.size("_c1") == 0), c2).alias("_c2"))
-    staged = staged.select(
-        *[c for c in staged.columns if c not in flat],
-        F.when(F.col("_env").isNull(), F.struct(*[F.col(n).alias(c) for c, n in zip(USER_COLUMNS, flat)])).alias("user"),
-    )
+    c2 = F.when(F.col("_env").isNull() & (F.size("_c1") == 0), c2).alias("_c2")
+    user = F.when(F.col("_env").isNull(), F.struct(*[F.col(n).alias(c) for c, n in zip(USER_COLUMNS, flat)])).alias("user")
     stage = (
         F.when(F.col("_env").isNotNull(), F.lit("envelope"))
         .when(F.size("_c1") > 0, F.lit("contract"))
@@ -80,9 +90,8 @@ def route(df: DataFrame, body_col: str = "body", keep_parsed: bool = False) -> D
         .when(F.size("_c2") > 0, F.col("_c2"))
         .otherwise(F.array().cast("array<string>"))
     )
-    out = staged.select("*", stage.alias("stage"), errors.alias("errors"))
-    drop = ["_env", "_user", "_c1", "_c2"] + ([] if keep_parsed else ["_parsed"])
-    return out.drop(*drop)
+    return {"env": env, "c1_flat": c1_flat, "flat": flat, "c2": c2, "user": user,
+            "final": [stage.alias("stage"), errors.alias("errors")]}
 
 
 def materialize(routed: DataFrame, path: str) -> DataFrame:
