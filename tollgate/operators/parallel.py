@@ -13,6 +13,9 @@ def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFram
     one core idle.  A large table already scans as many splits as cores and
     is returned unchanged (no shuffle at scale).
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as it is
+        return df
     return df.repartition(want) if have < want else df
