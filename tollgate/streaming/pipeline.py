@@ -19,7 +19,7 @@ import time
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,8 +90,11 @@ def run_user_stream(spark: SparkSession, source: M.MessageSource, paths: StreamP
                 F.lit(int(batch_id)).alias("batch_id"),
             )
             rows = S.upsert_users(good, batch_id, paths.table)
-            rejected = bad.count()
-            bad.write.mode("overwrite").parquet(f"{paths.dead_letters.rstrip('/')}/batch={int(batch_id)}")
+            obs = Observation(f"rejected_{int(batch_id)}")
+            bad.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+                f"{paths.dead_letters.rstrip('/')}/batch={int(batch_id)}"
+            )
+            rejected = int(obs.get.get("n", 0))
             if on_batch:
                 on_batch(batch, batch_id)
             _log_batch(spark, paths, "users", batch_id, rows, rejected, time.time() - t0)
