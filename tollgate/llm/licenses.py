@@ -15,7 +15,7 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .frames import UPPER, texts
+from .frames import plain, texts
 
 #: The phrases and labels of the base detections, which no rule suppresses.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -98,12 +98,6 @@ def rule_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "rule int, label string, priority int, keyword string, pattern string")
 
 
-def plain(text):
-    """Words of the lower-cased (A-Z) text; every run of other ASCII characters becomes blanks."""
-    other = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
-    return F.translate(text, UPPER + other, UPPER.lower() + " " * len(other))
-
-
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document with its words, base places and labels of all surviving detections.
 
