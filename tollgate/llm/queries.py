@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, simhash
+from . import decontaminate, licenses, secrets_scan, simhash
 from .frames import table
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    return secrets_scan.find_secrets(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        *[secrets_scan.n_of(spans, k).alias(f"n_{k}") for k in secrets_scan.KINDS],
+        F.sha2(secrets_scan.span_list(spans, secrets_scan.KINDS[:3]), 256).alias("base_sha256"),
+        secrets_scan.span_list(spans, secrets_scan.KINDS).alias("spans"),
+    )
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -24,6 +34,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
     "op4_licenses": op4_licenses,
     "op5_simhash": op5_simhash,
     "op8_decontamination": op8_decontamination,
