@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, secrets_scan, simhash
+from . import decontaminate, licenses, secrets_scan, sentencepiece_codec, simhash
 from .frames import table
 
 
+#: The tokenizer model that the registered query and the pipeline use.
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentencepiece_codec.encode(table(spark, sf_dir, "documents"), MODEL_FILE, keep_ids=False)
+    return out.drop("ids").withColumnRenamed("id", "doc_id")
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     return secrets_scan.find_secrets(table(spark, sf_dir, "documents")).select(
@@ -34,6 +43,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op3_secrets": op3_secrets,
     "op4_licenses": op4_licenses,
     "op5_simhash": op5_simhash,
