@@ -2,6 +2,7 @@ import random
 
 import pytest
 from pyspark.sql import types as T
+from samples import ODD, prose
 
 DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -38,14 +39,6 @@ def sf_dir(tmp_path, docs):
     return write
 
 
-#: Texts that trip tokenizers, regexes and offsets: empty, blank, odd blanks, astral, controls, no blanks, long.
-ODD = [None, "", " ", "\n\t\x0b\x0c\r ", "a", " ", "É x", "😀 😀😀 naïve", "\x00\x01 b", "x" * 5000, "ab " * 3000, "Ünï " * 400]
-
-
-def prose(rng: random.Random, words: int, vocabulary: int = 400) -> str:
-    return " ".join(f"w{rng.randrange(vocabulary)}" + rng.choice(["", "", "", ",", ".", "é"]) for _ in range(words))
-
-
 @pytest.fixture
 def corpus():
     """Invented documents with exact and near copies, shared passages and odd texts."""

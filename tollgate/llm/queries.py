@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, secrets_scan, sentencepiece_codec, simhash
+from . import decontaminate, kneser_ney, licenses, secrets_scan, sentencepiece_codec, simhash
 from .frames import table
 
 
@@ -18,6 +18,20 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("ids").withColumnRenamed("id", "doc_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select(
+        "doc_id",
+        "lang",
+        F.col("_p.n").alias("n_bytes"),
+        F.col("_p.byte").alias("byte_perplexity"),
+        F.col("_p.word").alias("word_perplexity"),
+        F.col("_max_byte").alias("byte_threshold"),
+        F.col("_max_word").alias("word_threshold"),
+        F.col("_keep").alias("keep"),
+    )
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     return secrets_scan.find_secrets(table(spark, sf_dir, "documents")).select(
@@ -44,6 +58,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op4_licenses": op4_licenses,
     "op5_simhash": op5_simhash,
