@@ -3,7 +3,7 @@ changes nothing; a restart with the same checkpoint reads nothing twice."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from records import SF_SMALL
 from tollgate.plans import fixtures as FX
 from tollgate.session import fresh_dir
 from tollgate.sources import messages as M
