@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, kneser_ney, licenses, secrets_scan, sentencepiece_codec, simhash
+from . import automaton_dedup, decontaminate, kneser_ney, licenses, secrets_scan, sentencepiece_codec, simhash, suffix_dedup
 from .frames import table
 
 
@@ -51,18 +51,30 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep=False)
+    return out.drop("kept").withColumnRenamed("id", "doc_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = automaton_dedup.remove_passages(table(spark, sf_dir, "documents"), keep=False)
+    return out.drop("kept").withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op4_licenses": op4_licenses,
     "op5_simhash": op5_simhash,
+    "op6_suffix_array": op6_suffix_array,
     "op8_decontamination": op8_decontamination,
+    "op9_substrings": op9_substrings,
 }
 
 ORACLE_SQL: dict[str, str] = {}
