@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automaton_dedup, decontaminate, kneser_ney, licenses, secrets_scan, sentencepiece_codec, simhash, suffix_dedup
+from . import automaton_dedup, decontaminate, kneser_ney, lattice, licenses, secrets_scan, sentencepiece_codec, simhash, suffix_dedup
 from .frames import table
 
 
@@ -56,6 +56,10 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("kept").withColumnRenamed("id", "doc_id")
 
 
+def op7_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_texts(table(spark, sf_dir, "documents"), MODEL_FILE).withColumnRenamed("id", "doc_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.withColumnRenamed("id", "doc_id")
@@ -73,6 +77,7 @@ QUERIES = {
     "op4_licenses": op4_licenses,
     "op5_simhash": op5_simhash,
     "op6_suffix_array": op6_suffix_array,
+    "op7_lattice": op7_lattice,
     "op8_decontamination": op8_decontamination,
     "op9_substrings": op9_substrings,
 }
