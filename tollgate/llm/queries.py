@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automaton_dedup, decontaminate, kneser_ney, lattice, licenses, secrets_scan, sentencepiece_codec, simhash, suffix_dedup
+from . import automaton_dedup, decontaminate, kneser_ney, lattice, licenses, secrets_scan, sentencepiece_codec, simhash, suffix_dedup, tree_search
 from .frames import table
 
 
@@ -70,6 +70,11 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("kept").withColumnRenamed("id", "doc_id")
 
 
+def op10_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tree_search.search(table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
@@ -80,6 +85,7 @@ QUERIES = {
     "op7_lattice": op7_lattice,
     "op8_decontamination": op8_decontamination,
     "op9_substrings": op9_substrings,
+    "op10_tree_search": op10_tree_search,
 }
 
 ORACLE_SQL: dict[str, str] = {}
