@@ -106,6 +106,19 @@ def test_contract2(spark):
     assert out[7] == ["Field 'alias': extra fields not permitted", "Field 'nickname': extra fields not permitted"]
 
 
+def test_contracts_of_one_name_are_told_apart(spark):
+    for key in ("a", "b"):
+        mine = C.Contract("Mine", (C.Field(key),))
+        assert errors_of(spark, [{"a": "x"}], mine) == [[] if key == "a" else ["Field 'b': field required"]]
+
+
+def test_optional_column_fields_may_be_null(spark):
+    mine = C.Contract("Mine", (C.Field("a", required=False, min_length=2), C.Field("b")))
+    df = spark.createDataFrame([(None, None), ("x", "y"), ("xx", "y")], "a string, b string")
+    out = [r[0] for r in df.select(C.column_contract_errors({c: F.col(c) for c in ("a", "b")}, mine)).collect()]
+    assert out == [["Field 'b': field required"], ["Field 'a': ensure this value has at least 2 characters"], []]
+
+
 def test_route_every_row_one_outcome(spark):
     bodies = [
         response(USER_RECORD),                                   # accepted
@@ -119,12 +132,13 @@ def test_route_every_row_one_outcome(spark):
         response(with_changes(name__first="")),                  # transform
         response(with_changes(name=DELETE)),                     # accepted, names Unknown
         json.dumps({"results": [None]}),                         # contract, root error
+        response(USER_RECORD) + " junk",                         # envelope: not one JSON value
     ]
     df = spark.createDataFrame(list(enumerate(bodies)), "k int, body string")
     rows = {r.k: r for r in route(df).collect()}
     stages = [rows[i].stage for i in range(len(bodies))]
     assert stages == ["accepted", "envelope", "envelope", "envelope", "envelope", "envelope", "contract",
-                      "transform", "transform", "contract", "contract"]
+                      "transform", "transform", "contract", "contract", "envelope"]
     assert rows[1].errors == ["Response is not a dictionary"]
     assert rows[2].errors == ["Empty results array"]
     assert rows[3].errors == ["Missing 'results' key in response"]

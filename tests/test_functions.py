@@ -30,6 +30,12 @@ def test_nested_get(spark):
     assert deep == ["deep"]
 
 
+def test_text_after_a_json_value_is_no_json(spark):
+    docs = ['{"a":1}', ' {"a":1}\n', '{"a":1} junk', '{"a":1}] x', '{"a":1}} x', '{"a":1}, 2', '{"a":1},"b":2', "5", "5 5", "", None, "[1]", "[1],"]
+    out = one_col(spark, docs, lambda c: V.parse_body(c).isNotNull())
+    assert out == [True, True, False, False, False, False, False, True, False, False, False, True, False]
+
+
 def test_py_text_of_json_values(spark):
     docs = ['{"v": 12345}', '{"v": true}', '{"v": "x"}', '{"v": null}', '{}']
     out = one_col(spark, docs, lambda c: V.py_text(V.get(V.parse_body(c), "v")))
@@ -103,7 +109,7 @@ def test_error_text(spark):
                                "m string, s int, f string, v string")
     http = [r[0] for r in df.select(T.error_text(F.col("m"), status=F.col("s"))).collect()]
     assert http == ["Server error: 500 [HTTP 500]", "Bad"]
-    fv = [r[0] for r in df.select(T.error_text(F.col("m"), field=F.col("f"), value=F.col("v"))).collect()]
+    fv = [r[0] for r in df.select(T.error_text(F.col("m"), field=F.col("f"), value=F.col("v"), value_chars=50)).collect()]
     assert fv == ["Server error: 500", "Bad [field=email] [value=" + "v" * 50 + "]"]
 
 

@@ -1,26 +0,0 @@
-"""Column -> Column building blocks (all JVM-side Spark SQL expressions)."""
-
-from tollgate.functions.text import (  # noqa: F401
-    PY_WHITESPACE,
-    clean_email,
-    clean_string,
-    error_text,
-    is_email,
-    is_uuid,
-    normalize_gender,
-    py_list_repr,
-    py_str_repr,
-)
-from tollgate.functions.variant import (  # noqa: F401
-    get,
-    is_json_object_text,
-    nested,
-    parse_body,
-    py_text,
-    truthy,
-    vtype,
-)
-from tollgate.functions.ids import stable_user_id, uuid5_url  # noqa: F401
-from tollgate.functions.address import build_address  # noqa: F401
-from tollgate.functions.backoff import backoff_delay  # noqa: F401
-from tollgate.functions.jsonout import message_json  # noqa: F401

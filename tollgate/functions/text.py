@@ -77,8 +77,9 @@ def is_uuid(c: Column | str) -> Column:
 
 
 def error_text(message: Column | str, status: Column | str | None = None,
-               field: Column | str | None = None, value: Column | str | None = None) -> Column:
-    """C11: ``message [HTTP n]`` or ``message [field=f] [value=first 50 chars]``.
+               field: Column | str | None = None, value: Column | str | None = None,
+               value_chars: int | None = None) -> Column:
+    """C11: ``message [HTTP n]`` or ``message [field=f] [value=v]``, v cut to ``value_chars`` if given.
 
     Parts are appended only when set (status non-zero, field non-empty,
     value non-null), as the error classes format themselves.
@@ -92,7 +93,8 @@ def error_text(message: Column | str, status: Column | str | None = None,
         parts.append(F.when(f.isNotNull() & (f != ""), F.concat(F.lit("[field="), f, F.lit("]"))))
     if value is not None:
         v = _col(value)
-        parts.append(F.when(v.isNotNull(), F.concat(F.lit("[value="), F.substring(v.cast("string"), 1, 50), F.lit("]"))))
+        shown = F.substring(v.cast("string"), 1, value_chars) if value_chars else v.cast("string")
+        parts.append(F.when(v.isNotNull(), F.concat(F.lit("[value="), shown, F.lit("]"))))
     return F.concat_ws(" ", *parts)
 
 

@@ -15,8 +15,16 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_body(text: Column | str) -> Column:
-    """Text -> VARIANT; null for text that is not JSON (never fails)."""
-    return F.try_parse_json(_col(text))
+    """Text -> VARIANT; null for text that is not one JSON value (never fails).
+
+    Spark's parser stops after the first value and lets any text follow.  Inside
+    brackets only ``]`` or ``,`` may follow a value, inside braces only ``}`` or
+    ``,"key":``; a text that is valid inside both has nothing after its value.
+    """
+    text = _col(text)
+    inside = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    braces = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when(inside.isNotNull() & braces.isNotNull(), F.try_parse_json(text))
 
 
 def computed_once(df: DataFrame, expr: Column, alias: str) -> DataFrame:
@@ -74,11 +82,6 @@ def is_object(v: Column, t: Column | None = None) -> Column:
     return is_present(v) & t.startswith("OBJECT")
 
 
-def is_array(v: Column, t: Column | None = None) -> Column:
-    t = vtype(v) if t is None else t
-    return is_present(v) & t.startswith("ARRAY")
-
-
 def numeric_type(t: Column) -> Column:
     cond = F.lit(False)
     for p in NUMERIC_PREFIXES:

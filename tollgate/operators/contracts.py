@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions import text as T
@@ -156,10 +156,7 @@ def cached(key: tuple, build: Callable[[], object]):
     Building a large expression costs one JVM round trip per operator; the
     result depends only on column names, so it is built once per key.
     """
-    from pyspark import SparkContext
-
-    sc = SparkContext._active_spark_context
-    full = (sc.applicationId if sc is not None else None,) + key
+    full = (SparkSession.active().sparkContext.applicationId, *key)
     if full not in _CACHE:
         _CACHE[full] = build()
     return _CACHE[full]
@@ -184,7 +181,7 @@ def with_nodes(df: DataFrame, record: str, contract: Contract, tag: str = "n") -
 
     Three narrow projections; helper columns are named ``__{tag}{i}_v/t/s``.
     """
-    steps, nodes = cached(("nodes", record, contract.name, tag), lambda: _node_projections(record, contract, tag))
+    steps, nodes = cached(("nodes", record, contract, tag), lambda: _node_projections(record, contract, tag))
     for cols in steps:
         df = df.select("*", *cols)
     return df, nodes
@@ -226,10 +223,11 @@ def _variant_field_errors(nodes: Nodes, keys: tuple, f: Field) -> list[Column]:
 
 
 def _column_field_errors(c: Column, f: Field, path: str) -> list[Column]:
-    """Errors of one typed (string) column; null counts as missing."""
-    steps = [(c.isNull(), F.lit(MSG_NONE if not f.required else MSG_REQUIRED))]
-    steps += _value_checks(f, c)
-    return [_prefix(path, _chain(steps))]
+    """Errors of one typed (string) column; null counts as missing, which an optional field may be."""
+    steps = [(c.isNull(), F.lit(MSG_REQUIRED))] if f.required else []
+    steps += [(failed & c.isNotNull(), m) for failed, m in _value_checks(f, c)]
+    head = _chain(steps)
+    return [_prefix(path, head)] if head is not None else []
 
 
 def _compact(errs: list[Column]) -> Column:
@@ -282,12 +280,12 @@ def check_contract(df: DataFrame, record: str, contract: Contract, out: str = "e
     staged, nodes = with_nodes(df, record, contract, tag=tag)
     helpers = node_columns(nodes)
     if contract.forbid_extra:
-        extra = cached(("extra", record, contract.name, tag),
+        extra = cached(("extra", record, contract, tag),
                        lambda: unknown_keys(F.col(record), contract).alias(f"__{tag}_extra"))
         staged = staged.select("*", extra)
         nodes.extra = F.col(f"__{tag}_extra")
         helpers.append(f"__{tag}_extra")
-    errs = cached(("errors", record, contract.name, tag, out), lambda: contract_errors(F.col(record), contract, nodes).alias(out))
+    errs = cached(("errors", record, contract, tag, out), lambda: contract_errors(F.col(record), contract, nodes).alias(out))
     return staged.select("*", errs).drop(*helpers)
 
 
@@ -369,6 +367,5 @@ USER = Contract(
     forbid_extra=True,
 )
 
+# The names of the user record, in this order.
 USER_COLUMNS = tuple(f.name for f in USER.fields)
-
-ContractCompiler = Callable[[Column, Contract], Column]

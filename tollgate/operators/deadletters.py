@@ -20,7 +20,8 @@ def to_dead_letters(routed: DataFrame, now: str, source_topic: str = DEFAULT_TOP
     stage's error class, ``error_message`` "Validation failed: " + the
     Python list text of the errors (envelope, contract) or the errors
     joined by "; " (transform), ``timestamp`` the run time ``now`` (a
-    parameter, so reruns agree), ``retry_count`` 0.
+    parameter, so reruns agree), ``retry_count`` the ``_retry_count`` that a
+    replay has put into the body (R10), else 0.
     """
     stage = F.col("stage")
     msg = F.when(stage == "transform", F.array_join("errors", "; ")).otherwise(py_list_repr(F.col("errors")))
@@ -29,11 +30,16 @@ def to_dead_letters(routed: DataFrame, now: str, source_topic: str = DEFAULT_TOP
         stage_error_type(stage).alias("error_type"),
         F.concat(F.lit("Validation failed: "), msg).alias("error_message"),
         F.lit(now).alias("timestamp"),
-        F.lit(0).alias("retry_count"),
+        retries_so_far(F.col(body_col)).alias("retry_count"),
         F.lit(source_topic).alias("source_topic"),
     )
 
 
+def retries_so_far(text: Column) -> Column:
+    """How often a message was replayed: its body's ``_retry_count``, 0 if there is none."""
+    return F.coalesce(F.get_json_object(text, "$._retry_count").try_cast("int"), F.lit(0))
+
+
 def age_hours(ts_text: Column, now: str) -> Column:
     """(now - ts) in hours; unreadable or empty timestamp -> 0.0."""
     ts = F.try_to_timestamp(ts_text)
@@ -47,16 +53,15 @@ def readable_first(decoded: DataFrame, n: int | None) -> DataFrame:
     return first_rows(decoded.where("readable"), n)
 
 
-def dead_letter_stats(decoded: DataFrame, now: str, max_messages: int | None = 1000,
+def dead_letter_stats(decoded: DataFrame, now: str, max_messages: int | None = None,
                       limit: int = REPLAY_LIMIT, replayable: tuple[str, ...] = REPLAYABLE_ERRORS) -> DataFrame:
-    """D3: one row: totals, replayable split, error type -> count map, oldest age.
-
-    Over the first ``max_messages`` readable rows in (partition, offset)
-    order (None: all).  The per-type counts are aggregated first (one row
-    per error type, partial aggregation before the shuffle), so the map is
-    built from a handful of rows; the oldest age is never below 0 and
-    rounded to 2 places.  Empty input gives zeros and an empty map.
-    Unreadable rows are excluded here and counted by ``undecodable_count``.
+    """D3: one row of totals, replayable split and oldest age.
+
+    Over all readable rows, or the first ``max_messages`` of them in (partition, offset)
+    order.  The oldest age is never below 0 and rounded to 2 places; empty input gives
+    zeros.  Unreadable rows are counted by ``undecodable_count``.  The counts by error
+    type are rows of ``error_type_counts``: types are free text, so their number has no
+    bound and they aren't gathered into one map.
     """
     rows = readable_first(decoded, max_messages)
     rows = rows.select(
@@ -64,18 +69,12 @@ def dead_letter_stats(decoded: DataFrame, now: str, max_messages: int | None = 1
         is_replayable(F.col("error_type"), F.col("retry_count"), limit, replayable).alias("r"),
         age_hours(F.col("timestamp"), now).alias("age"),
     )
-    per_type = rows.groupBy("error_type").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("r").alias("nr"), F.max("age").alias("age")
-    )
-    entries = F.array_sort(F.collect_list(F.struct("error_type", "n")))
-    stats = per_type.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_messages"),
-        F.coalesce(F.sum("nr"), F.lit(0)).cast("long").alias("retryable_count"),
-        F.coalesce(F.sum(F.col("n") - F.col("nr")), F.lit(0)).cast("long").alias("non_retryable_count"),
-        F.map_from_entries(entries).alias("error_type_counts"),
+    return rows.agg(
+        F.count(F.lit(1)).alias("total_messages"),
+        F.count_if("r").alias("retryable_count"),
+        F.count_if(~F.col("r")).alias("non_retryable_count"),
         F.round(F.greatest(F.coalesce(F.max("age"), F.lit(0.0)), F.lit(0.0)), 2).alias("oldest_message_hours"),
     )
-    return stats
 
 
 def undecodable_count(decoded: DataFrame) -> DataFrame:
@@ -88,10 +87,10 @@ def error_type_counts(decoded: DataFrame, max_messages: int | None = None) -> Da
     return readable_first(decoded, max_messages).groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def plan_replay(decoded: DataFrame, target_topic: str | None = None, max_messages: int | None = 100,
+def plan_replay(decoded: DataFrame, target_topic: str | None = None, max_messages: int | None = None,
                 only_replayable: bool = True, limit: int = REPLAY_LIMIT,
                 replayable: tuple[str, ...] = REPLAYABLE_ERRORS, default_topic: str = DEFAULT_TOPIC) -> DataFrame:
-    """What a replay would do with each of the first ``max_messages`` rows.
+    """What a replay would do with each row (or the first ``max_messages``).
 
     Every read row counts, skipped and failed ones too.  Outcome: unreadable
     -> ``failed``; not replayable (when ``only_replayable``) -> ``skipped``
@@ -131,6 +130,12 @@ def plan_replay(decoded: DataFrame, target_topic: str | None = None, max_message
     )
 
 
+def replay_messages(plan: DataFrame) -> DataFrame:
+    """D5 -> A4: the plan's retried rows in Kafka sink shape, each for its own topic."""
+    sent = plan.where(F.col("outcome") == "retried")
+    return sent.select(F.lit(None).cast("binary").alias("key"), F.col("body").cast("binary").alias("value"), F.col("target_topic").alias("topic"))
+
+
 def replay_summary(plan: DataFrame) -> DataFrame:
     """Retried / skipped / failed counts of a replay plan."""
     return plan.agg(
@@ -140,6 +145,6 @@ def replay_summary(plan: DataFrame) -> DataFrame:
     )
 
 
-def sample_dead_letters(decoded: DataFrame, n: int = 5) -> DataFrame:
+def sample_dead_letters(decoded: DataFrame, n: int) -> DataFrame:
     """The first ``n`` readable dead letters (a top-k, not a full sort)."""
     return readable_first(decoded, n)

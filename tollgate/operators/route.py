@@ -23,7 +23,6 @@ from tollgate.operators.contracts import (
     node_columns,
     with_nodes,
 )
-from tollgate.operators.parallel import spread_for_cpu
 from tollgate.operators.users import flatten_user, unwrap_response
 
 STAGES = ("accepted", "envelope", "contract", "transform")
@@ -40,30 +39,33 @@ REPLAYABLE_ERRORS = ("ConnectionError", "TimeoutError", "CassandraWriteError", "
 REPLAY_LIMIT = 3
 
 
-def route(df: DataFrame, body_col: str = "body", keep_parsed: bool = False) -> DataFrame:
+def route(df: DataFrame, body_col: str = "body", keep_parsed: bool = False, normalize_first: bool = False) -> DataFrame:
     """One pass adding ``stage``, ``errors`` and ``user``.
 
     Order of checks: envelope (C1), contract 1 on ``results[0]`` (C2),
     flatten (B11), contract 2 on the flat record (C3).  The body is parsed
     once (``_parsed``); each JSON path of contract 1 is read once into a
     helper column that the checks and the flattening share.  All steps are
-    narrow projections: no shuffle, rows in = rows out.
+    narrow projections: no shuffle, rows in = rows out.  ``stage``, ``errors``
+    and ``user`` come out of a generator, so a filter on them neither repeats
+    the checks nor needs the rows written first.  ``normalize_first`` flattens
+    the record as contract 1 normalises it: a gender outside the list is
+    ``other`` instead of an error of contract 2 (R1).
     """
-    staged = V.with_parsed(spread_for_cpu(df), body_col, "_parsed")
-    steps = cached(("route", body_col), lambda: _route_steps(body_col))
+    staged = V.with_parsed(df, body_col, "_parsed")
+    steps = cached(("route", body_col, normalize_first), lambda: _route_steps(body_col, normalize_first))
     staged = staged.select("*", *steps["env"])
     staged, nodes = with_nodes(staged, "_user", API_USER, tag="u")
     staged = staged.select("*", *steps["c1_flat"]).drop(*node_columns(nodes))
     staged = staged.select("*", steps["c2"])
-    staged = staged.select(*[c for c in staged.columns if c not in steps["flat"]], steps["user"])
-    out = staged.select("*", *steps["final"])
-    drop = ["_env", "_user", "_c1", "_c2"] + ([] if keep_parsed else ["_parsed"])
-    return out.drop(*drop)
+    out = V.computed_once(staged, F.struct(*steps["final"]), "_routed")
+    kept = [c for c in df.columns] + (["_parsed"] if keep_parsed else [])
+    return out.select(*kept, "_routed.*")
 
 
-def _route_steps(body_col: str) -> dict:
+def _route_steps(body_col: str, normalize_first: bool) -> dict:
     """The routing projections as expression lists (built once, see ``cached``)."""
-    _, nodes = cached(("nodes", "_user", API_USER.name, "u"), lambda: _node_projections("_user", API_USER, "u"))
+    _, nodes = cached(("nodes", "_user", API_USER, "u"), lambda: _node_projections("_user", API_USER, "u"))
     env = [
         envelope_errors(F.col(body_col), F.col("_parsed")).alias("_env"),
         unwrap_response(F.col("_parsed")).alias("_user"),
@@ -73,7 +75,7 @@ def _route_steps(body_col: str) -> dict:
     flat = [f"__f_{c}" for c in USER_COLUMNS]
     c1_flat = [
         F.when(F.col("_env").isNull(), contract_errors(F.col("_user"), API_USER, nodes)).alias("_c1"),
-        *[F.when(F.col("_env").isNull(), e).alias(n) for e, n in zip(flatten_user(F.col("_user"), nodes), flat)],
+        *[F.when(F.col("_env").isNull(), e).alias(n) for e, n in zip(flatten_user(F.col("_user"), nodes, normalize_first), flat)],
     ]
     c2 = column_contract_errors({c: F.col(n) for c, n in zip(USER_COLUMNS, flat)}, USER)
     c2 = F.when(F.col("_env").isNull() & (F.size("_c1") == 0), c2).alias("_c2")
@@ -90,34 +92,14 @@ def _route_steps(body_col: str) -> dict:
         .when(F.size("_c2") > 0, F.col("_c2"))
         .otherwise(F.array().cast("array<string>"))
     )
-    return {"env": env, "c1_flat": c1_flat, "flat": flat, "c2": c2, "user": user,
-            "final": [stage.alias("stage"), errors.alias("errors")]}
-
-
-def materialize(routed: DataFrame, path: str) -> DataFrame:
-    """Write routed rows once, partitioned by ``stage``, and read them back.
-
-    Filters on ``stage`` over a lazy routed frame would be pushed below the
-    routing projections and re-evaluate the whole check inside the filter.
-    Over the written table they are partition pruning, the routing runs
-    once, and the lineage is cut (the path lives in the shared checkpoint
-    folder, so a lost executor does not lose it).  Streaming batches use
-    ``persist`` on the batch instead (see ``tollgate.streaming``).
-    """
-    routed.write.mode("overwrite").partitionBy("stage").parquet(path)
-    return routed.sparkSession.read.parquet(path)
+    return {"env": env, "c1_flat": c1_flat, "c2": c2, "final": [stage.alias("stage"), errors.alias("errors"), user]}
 
 
 def accepted(routed: DataFrame) -> DataFrame:
-    """Accepted rows as the flat 11-column user table (use on a
-    materialized or persisted routed frame)."""
+    """Accepted rows as the flat 11-column user table."""
     return routed.where(F.col("stage") == "accepted").select("user.*")
 
 
-def rejected(routed: DataFrame) -> DataFrame:
-    return routed.where(F.col("stage") != "accepted")
-
-
 def route_outcomes(routed: DataFrame) -> DataFrame:
     """Counts per (stage, first error): the run's routing report."""
     return routed.groupBy(
@@ -125,28 +107,40 @@ def route_outcomes(routed: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def classify_fetch(status: Column, body: Column, retry_after: Column | None = None) -> list[Column]:
+def classify_fetch(status: Column, body: Column, retry_after: Column | None = None,
+                   failure: Column | None = None, body_chars: int | None = None) -> list[Column]:
     """Outcome of one HTTP fetch.
 
     429 -> APIRateLimitError (keeps retry_after); >=500 -> APIConnectionError;
-    >=400 -> APIError; body not JSON -> APIError; else ok.  The body is kept
-    to its first 500 characters on errors.
+    >=400 -> APIError; body not JSON -> APIError; else ok.  A null status is a
+    fetch without a response: ``failure`` names why ("timeout", "connection",
+    anything else or nothing), the first two are transient.  The body is kept
+    on errors, to its first ``body_chars`` characters if given.
     """
+    none = status.isNull()
+    why = F.lit(None).cast("string") if failure is None else failure
     bad_json = V.parse_body(body).isNull()
     error_type = (
-        F.when(status == 429, F.lit("APIRateLimitError"))
+        F.when(none & (why == "timeout"), F.lit("APITimeoutError"))
+        .when(none & (why == "connection"), F.lit("APIConnectionError"))
+        .when(none, F.lit("APIError"))
+        .when(status == 429, F.lit("APIRateLimitError"))
         .when(status >= 500, F.lit("APIConnectionError"))
         .when(status >= 400, F.lit("APIError"))
         .when(bad_json, F.lit("APIError"))
     )
     message = (
-        F.when(status == 429, F.lit("API rate limit exceeded"))
+        F.when(none & (why == "timeout"), F.lit("Request timed out"))
+        .when(none & (why == "connection"), F.lit("Connection failed"))
+        .when(none, F.lit("Request failed"))
+        .when(status == 429, F.lit("API rate limit exceeded"))
         .when(status >= 500, F.concat(F.lit("Server error: "), status.cast("string")))
         .when(status >= 400, F.concat(F.lit("Client error: "), status.cast("string")))
         .when(bad_json, F.lit("Invalid JSON response"))
     )
     http = F.when(status >= 400, status)
-    kept_body = F.when((status >= 500) | ((status >= 400) & (status != 429)) | ((status < 400) & bad_json), F.substring(body, 1, 500))
+    kept = F.substring(body, 1, body_chars) if body_chars else body
+    kept_body = F.when((status >= 500) | ((status >= 400) & (status != 429)) | ((status < 400) & bad_json), kept)
     outcome = F.when(error_type.isNull(), F.lit("ok")).otherwise(F.lit("error"))
     cols = [
         outcome.alias("outcome"),

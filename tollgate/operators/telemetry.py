@@ -22,36 +22,45 @@ DLQ_RED_FROM = 1
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def run_summary(routed: DataFrame) -> DataFrame:
-    """Success / failure counts and rate = s / (s + f), 0 when empty."""
+def run_summary(routed: DataFrame, started: str | None = None, ended: str | None = None) -> DataFrame:
+    """Success / failure counts and rate = s / (s + f), 0 when empty.
+
+    With the run's ``started`` and ``ended`` times (ISO text) also its duration in seconds.
+    """
     ok = F.count_if(F.col("stage") == "accepted")
     bad = F.count_if(F.col("stage") != "accepted")
-    return routed.agg(
+    out = routed.agg(
         ok.alias("success_count"),
         bad.alias("failure_count"),
         F.coalesce(F.try_divide(ok, ok + bad), F.lit(0.0)).alias("success_rate"),
     )
+    if started is None or ended is None:
+        return out
+    first, last = (F.unix_micros(F.to_timestamp(F.lit(t))) for t in (started, ended))
+    return out.withColumn("duration_seconds", (last - first).cast("double") / 1_000_000)
 
 
 def delivery_stats(log: DataFrame) -> DataFrame:
-    """E2 (producer side): sent, send retries, sent to dead letters."""
+    """E2 (producer side): sent, send retries, failed for good, sent to dead letters."""
     s = F.col("series")
     return log.agg(
         F.count_if(s == "sent").alias("messages_sent"),
         F.count_if(s == "retry").alias("send_retries"),
+        F.count_if(s == "failed").alias("messages_failed"),
         F.count_if(s == "dlq").alias("sent_to_dlq"),
     )
 
 
 def fetch_stats(classified: DataFrame) -> DataFrame:
-    """E2 (client side): requests, successes, retries (5xx), failures (rest)."""
-    st = F.col("status")
+    """E2 (client side): requests, successes, retries (5xx, or no response for a
+    transient reason), failures (the rest); they add up to the requests."""
     ok = F.col("outcome") == "ok"
+    again = F.coalesce(F.col("status") >= 500, F.col("is_transient"))
     return classified.agg(
         F.count(F.lit(1)).alias("requests"),
         F.count_if(ok).alias("successes"),
-        F.count_if(~ok & (st >= 500)).alias("retries"),
-        F.count_if(~ok & ~(st >= 500)).alias("failures"),
+        F.count_if(~ok & again).alias("retries"),
+        F.count_if(~ok & ~again).alias("failures"),
     )
 
 
@@ -76,13 +85,29 @@ def _windowed(log: DataFrame, ts: str, window: str, slide: str | None) -> DataFr
     return log.select("*", w.alias("_w"))
 
 
+def _per_window(log: DataFrame, ts: str, window: str, slide: str | None, keys: tuple[str, ...], counts: dict[str, Column]) -> DataFrame:
+    """Counts by (sliding) window and ``keys``.
+
+    Rows are counted by slide first; only those counts, one row per slide and
+    key, are copied into the windows that a slide belongs to.  A stream has no
+    second aggregation in the same pass, so there each row is copied itself.
+    """
+    if slide is None or log.isStreaming:
+        return _windowed(log, ts, window, slide).groupBy(*keys, "_w").agg(*[c.alias(n) for n, c in counts.items()])
+    tumbling = _windowed(log, ts, slide, None).groupBy(*keys, "_w").agg(*[c.alias(n) for n, c in counts.items()])
+    tumbling = tumbling.withColumn("_t", F.col("_w.start")).drop("_w")
+    return _windowed(tumbling, "_t", window, slide).groupBy(*keys, "_w").agg(*[F.sum(n).alias(n) for n in counts])
+
+
 def rate_per_second(log: DataFrame, window: str = "1 minute", slide: str | None = "15 seconds",
                     window_seconds: int = 60, ts: str = "ts") -> DataFrame:
     """Events per second per series in each (sliding) window.
 
     A plain count / window length; PromQL's edge extrapolation is not copied.
+    On a stream, give ``log`` a watermark on ``ts``; windows come out once it
+    has passed their end.
     """
-    g = _windowed(log, ts, window, slide).groupBy("series", "_w").agg(F.count(F.lit(1)).alias("n"))
+    g = _per_window(log, ts, window, slide, ("series",), {"n": F.count(F.lit(1))})
     return g.select(
         "series",
         F.date_format("_w.start", TS_FORMAT).alias("window_start"),
@@ -92,11 +117,9 @@ def rate_per_second(log: DataFrame, window: str = "1 minute", slide: str | None
 
 
 def dead_letter_share(log: DataFrame, window: str = "1 minute", slide: str | None = "15 seconds", ts: str = "ts") -> DataFrame:
-    """E5: dlq / (sent + dlq) * 100 per window; null when neither occurred."""
+    """E5: dlq / (sent + dlq) * 100 per window; null when neither occurred.  Streams as in E4."""
     s = F.col("series")
-    g = _windowed(log, ts, window, slide).groupBy("_w").agg(
-        F.count_if(s == "dlq").alias("dlq"), F.count_if(s == "sent").alias("sent")
-    )
+    g = _per_window(log, ts, window, slide, (), {"dlq": F.count_if(s == "dlq"), "sent": F.count_if(s == "sent")})
     share = F.try_divide(F.col("dlq").cast("double"), (F.col("sent") + F.col("dlq")).cast("double")) * F.lit(100.0)
     return g.select(F.date_format("_w.start", TS_FORMAT).alias("window_start"), "dlq", "sent", share.alias("dlq_percent"))
 
@@ -105,42 +128,47 @@ def _le(b: float) -> str:
     return repr(float(b))
 
 
-def histogram(log: DataFrame, value: str, bounds: tuple[float, ...], name: str) -> DataFrame:
-    """Cumulative ``le`` bucket counts plus ``+Inf``, sum and count.
+def histograms(log: DataFrame, of: dict[str, tuple[str, tuple[float, ...]]]) -> DataFrame:
+    """Cumulative ``le`` bucket counts plus ``+Inf``, sum and count of each
+    named (column, bounds).
 
-    One pass of ``count_if`` per bound (partial aggregation), then the row
-    is unpivoted into one row per bucket.
+    One pass for all: a ``count_if`` per bound (partial aggregation), then the
+    single row is unpivoted into one row per bucket.
     """
-    v = F.col(value)
-    aggs = [F.count_if(v <= F.lit(b)).alias(f"b{i}") for i, b in enumerate(bounds)]
-    total = log.agg(
-        *aggs,
-        F.count(F.lit(1)).alias("cnt"),
-        F.sum(v.cast("decimal(20,4)")).alias("sm"),
-    )
-    stack = ", ".join([f"'{_le(b)}', b{i}" for i, b in enumerate(bounds)] + ["'+Inf', cnt"])
-    return total.select(
-        F.lit(name).alias("histogram"),
-        F.expr(f"stack({len(bounds) + 1}, {stack}) AS (le, bucket_count)"),
-        F.col("cnt").alias("total_count"),
-        F.coalesce(F.col("sm"), F.lit(0)).cast("double").alias("total_sum"),
-    )
+    aggs, rows = [F.count(F.lit(1)).alias("cnt")], []
+    for h, (name, (value, bounds)) in enumerate(of.items()):
+        v = F.col(value)
+        aggs += [F.count_if(v <= F.lit(b)).alias(f"h{h}b{i}") for i, b in enumerate(bounds)]
+        aggs.append(F.coalesce(F.sum(v).cast("double"), F.lit(0.0)).alias(f"h{h}s"))
+        buckets = [(_le(b), f"h{h}b{i}") for i, b in enumerate(bounds)] + [("+Inf", "cnt")]
+        rows += [f"'{name}', '{le}', {n}, cnt, h{h}s" for le, n in buckets]
+    stack = f"stack({len(rows)}, {', '.join(rows)}) AS (histogram, le, bucket_count, total_count, total_sum)"
+    return log.agg(*aggs).select(F.expr(stack))
+
+
+def histogram(log: DataFrame, value: str, bounds: tuple[float, ...], name: str) -> DataFrame:
+    """E6 for one column."""
+    return histograms(log, {name: (value, bounds)})
 
 
 def quantile_from_buckets(q: float, cum: list[Column], total: Column, bounds: tuple[float, ...]) -> Column:
     """PromQL ``histogram_quantile`` on cumulative counts (linear inside the
     bucket; first bucket starts at 0; rank in +Inf -> last finite bound;
-    no observations -> null)."""
+    no observations -> null; q below 0 or above 1 -> minus or plus infinity;
+    q = 0 -> 0, the start of the first bucket)."""
+    if not 0 <= q <= 1:
+        return F.when(total > 0, F.lit(float("-inf" if q < 0 else "inf")))
     rank = F.lit(float(q)) * total.cast("double")
     expr = None
     for i, b in enumerate(bounds):
         lo = 0.0 if i == 0 else bounds[i - 1]
         below = F.lit(0.0) if i == 0 else cum[i - 1].cast("double")
-        val = F.lit(lo) + F.lit(b - lo) * ((rank - below) / (cum[i].cast("double") - below))
+        inside = F.coalesce(F.try_divide(rank - below, cum[i].cast("double") - below), F.lit(0.0))
+        val = F.lit(lo) + F.lit(b - lo) * inside
         cond = cum[i].cast("double") >= rank
         expr = F.when(cond, val) if expr is None else expr.when(cond, val)
     expr = expr.otherwise(F.lit(float(bounds[-1])))
-    return F.when(total > 0, F.round(expr, 9))
+    return F.when(total > 0, expr)
 
 
 def duration_quantiles(log: DataFrame, value: str = "batch_seconds", bounds: tuple[float, ...] = BATCH_BOUNDS,

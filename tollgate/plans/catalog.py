@@ -18,7 +18,6 @@ from tollgate.functions.address import build_address
 from tollgate.functions.ids import stable_user_id
 from tollgate.operators import contracts as C
 from tollgate.operators import route as R
-from tollgate.operators.parallel import spread_for_cpu
 from tollgate.operators.users import flatten_user, unwrap_response
 from tollgate.operators import deadletters as D
 from tollgate.operators import telemetry as TM
@@ -33,6 +32,7 @@ QUERIES: dict[str, Query] = {}
 
 # Fixed run time for dead letters and ages, so reruns and the oracle agree.
 RUN_NOW = "2024-02-01T00:00:00Z"
+RUN_START = "2024-01-31T23:58:47.5Z"
 
 
 def query(fn: Query) -> Query:
@@ -44,14 +44,9 @@ def routed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.route(FX.raw_responses(spark, sf_dir))
 
 
-def routed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Routed responses written once (partitioned by stage) and read back."""
-    return R.materialize(routed_responses(spark, sf_dir), fresh_dir(spark, "routed"))
-
-
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses with a ``results[0]`` (envelope passed), user as VARIANT."""
-    rr = V.with_parsed(spread_for_cpu(FX.raw_responses(spark, sf_dir)).select("response_id", "body"), "body", "p")
+    rr = V.with_parsed(FX.raw_responses(spark, sf_dir).select("response_id", "body"), "body", "p")
     rr = rr.where(C.envelope_errors(F.col("body"), F.col("p")).isNull())
     return rr.select("response_id", unwrap_response(F.col("p")).alias("u"))
 
@@ -69,7 +64,13 @@ def run_summary(spark, sf_dir):
     """Successes, failures and success rate of one routing run."""
     from tollgate.operators.telemetry import run_summary as summary
 
-    return summary(routed_responses(spark, sf_dir))
+    return summary(routed_responses(spark, sf_dir), RUN_START, RUN_NOW)
+
+
+@query
+def route_outcomes_normalized(spark, sf_dir):
+    """C7 with R1's other choice: genders normalised before contract 2."""
+    return R.route_outcomes(R.route(FX.raw_responses(spark, sf_dir), normalize_first=True))
 
 
 # --------------------------------------------------------------------------- C1-C3
@@ -91,7 +92,7 @@ def user_contract_errors(spark, sf_dir):
     keys included."""
     from tollgate.sources.messages import message_text
 
-    msgs = spread_for_cpu(FX.user_messages(spark, sf_dir)).select("partition", "offset", message_text().alias("t"))
+    msgs = FX.user_messages(spark, sf_dir).select("partition", "offset", message_text().alias("t"))
     msgs = V.with_parsed(msgs, "t", "v").drop("t")
     checked = C.check_contract(msgs, "v", C.USER, out="e")
     return checked.select(
@@ -155,7 +156,7 @@ def postcode_text(spark, sf_dir):
 
 # --------------------------------------------------------------------------- B1, B2, A2, A4-A9
 def _decoded(spark, sf_dir) -> DataFrame:
-    return M.decode_messages(spread_for_cpu(FX.user_messages(spark, sf_dir)), keep=("partition", "offset", "timestamp"))
+    return M.decode_messages(FX.user_messages(spark, sf_dir), keep=("partition", "offset", "timestamp"))
 
 
 @query
@@ -185,7 +186,7 @@ def is_uuid(spark, sf_dir):
 
 
 def _accepted(spark, sf_dir) -> DataFrame:
-    return R.accepted(routed_table(spark, sf_dir))
+    return R.accepted(routed_responses(spark, sf_dir))
 
 
 @query
@@ -197,47 +198,61 @@ def publish_encode(spark, sf_dir):
 
 @query
 def is_email(spark, sf_dir):
-    u = routed_table(spark, sf_dir).where(F.col("user").isNotNull())
+    u = routed_responses(spark, sf_dir).where(F.col("user").isNotNull())
     return u.select("response_id", F.col("user.email").alias("email"), T.is_email(F.col("user.email")).alias("is_email"))
 
 
-def _upserted(spark, sf_dir, batches: int) -> DataFrame:
-    """Write the well-formed messages into a fresh change log as ``batches``
-    micro-batches (split by topic partition) and read the current table."""
-    path = fresh_dir(spark, "users")
-    good = S.with_order(M.wellformed_messages(_decoded(spark, sf_dir)))
-    for b in range(batches):
-        part = good if batches == 1 else good.where(F.col("_partition") % batches == b)
-        S.upsert_users(part, b, path)
-    return S.current_users(spark, path)
+def _good(spark, sf_dir) -> DataFrame:
+    return S.with_order(M.wellformed_messages(_decoded(spark, sf_dir)))
 
 
 @query
 def upsert_latest(spark, sf_dir):
     """A5+A6: one batch upserted, then the latest row per id."""
-    return _upserted(spark, sf_dir, 1)
+    path = fresh_dir(spark, "users")
+    S.upsert_users(_good(spark, sf_dir), 0, path)
+    return S.current_users(spark, path)
+
+
+def _three_batches(spark, sf_dir) -> str:
+    """A change log of three batches, one per topic partition, written in one pass."""
+    path = fresh_dir(spark, "users")
+    best = S.latest_per_id(_good(spark, sf_dir).withColumn("batch_id", F.col("_partition")), key=("batch_id", "id"))
+    best.write.partitionBy("batch_id").parquet(path)
+    return path
 
 
 @query
 def current_users(spark, sf_dir):
-    """A6 over a change log of three batches (one per topic partition)."""
-    return _upserted(spark, sf_dir, 3)
+    """A6 over a change log of three batches."""
+    return S.current_users(spark, _three_batches(spark, sf_dir))
+
+
+@query
+def compacted_users(spark, sf_dir):
+    """A6 with compaction: the state after three batches, and the first batch once more after it."""
+    path, compacted = _three_batches(spark, sf_dir), fresh_dir(spark, "compacted")
+    S.compact_users(spark, path, compacted)
+    again = spark.read.parquet(f"{path}/batch_id=0")
+    S.upsert_users(again, 3, path)
+    return S.current_users(spark, path, compacted)
 
 
 @query
 def replay_idempotent(spark, sf_dir):
-    """batch 0 written twice (a replay) leaves the same table."""
+    """batch 1 written twice (a replay) leaves the same table."""
     path = fresh_dir(spark, "users")
-    good = S.with_order(M.wellformed_messages(_decoded(spark, sf_dir)))
-    S.upsert_users(good, 0, path)
-    S.upsert_users(good, 0, path)
+    S.upsert_users(_good(spark, sf_dir), 0, path)
+    written = spark.read.parquet(f"{path}/batch_id=0")
+    S.upsert_users(written, 1, path)
+    S.upsert_users(written, 1, path)
     return S.current_users(spark, path)
 
 
 @query
 def users_table_schema(spark, sf_dir):
     """Create the user table if missing (twice: idempotent), fill it
-    with the accepted users, read it back."""
+    with the accepted users, read it back; the table goes, its files stay to be read."""
     import uuid as _uuid
 
     name = f"users_{_uuid.uuid4().hex[:12]}"
@@ -245,20 +260,35 @@ def users_table_schema(spark, sf_dir):
     S.ensure_users_table(spark, name, loc)
     S.ensure_users_table(spark, name, loc)
     _accepted(spark, sf_dir).select(*C.USER_COLUMNS).write.insertInto(name)
-    return spark.table(name)
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(loc)
 
 
 @query
 def to_dead_letters(spark, sf_dir):
-    return D.to_dead_letters(routed_table(spark, sf_dir), RUN_NOW)
+    return D.to_dead_letters(routed_responses(spark, sf_dir), RUN_NOW)
+
+
+def _letters_written(spark, sf_dir) -> str:
+    path = fresh_dir(spark, "dead_letters")
+    S.write_dead_letters(D.to_dead_letters(routed_responses(spark, sf_dir), RUN_NOW), "parquet", path)
+    return path
 
 
 @query
 def dead_letters_written(spark, sf_dir):
-    """Dead letters appended to a sink and read back."""
-    path = fresh_dir(spark, "dead_letters")
-    S.write_dead_letters(D.to_dead_letters(routed_table(spark, sf_dir), RUN_NOW), "parquet", path)
-    return spark.read.parquet(path)
+    """Dead letters written to their topic; the messages' JSON read back."""
+    schema = "original_message STRING, error_type STRING, error_message STRING, timestamp STRING, retry_count INT, source_topic STRING"
+    rows = spark.read.parquet(_letters_written(spark, sf_dir))
+    return rows.select(F.from_json(M.message_text(), schema).alias("m")).select("m.*")
+
+
+@query
+def dead_letters_roundtrip(spark, sf_dir):
+    """A7 -> A8: the reader's view of the letters that the writer wrote."""
+    read = M.read_dead_letters(spark.read.parquet(_letters_written(spark, sf_dir)))
+    return read.drop("partition", "offset")
 
 
 # --------------------------------------------------------------------------- D2-D7, A8, C9, C10
@@ -285,26 +315,22 @@ def dlq_age_hours(spark, sf_dir):
     return d.select("partition", "offset", "timestamp", D.age_hours(F.col("timestamp"), RUN_NOW).alias("age_hours"))
 
 
-def _stats(decoded: DataFrame, n) -> DataFrame:
-    st = D.dead_letter_stats(decoded, RUN_NOW, max_messages=n)
-    types = F.array_join(
-        F.transform(F.array_sort(F.map_entries("error_type_counts")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))),
-        ";",
-    )
-    return st.select("total_messages", "retryable_count", "non_retryable_count", "oldest_message_hours",
-                     types.alias("error_types"))
-
-
 @query
 def dlq_stats(spark, sf_dir):
     """D3 with the reference's default: the first 1000 readable letters."""
-    return _stats(_dl(spark, sf_dir), 1000)
+    return D.dead_letter_stats(_dl(spark, sf_dir), RUN_NOW, max_messages=1000)
 
 
 @query
 def dlq_stats_all(spark, sf_dir):
     """D3 over the whole dead-letter topic."""
-    return _stats(_dl(spark, sf_dir), None)
+    return D.dead_letter_stats(_dl(spark, sf_dir), RUN_NOW)
+
+
+@query
+def dlq_error_types_first_1000(spark, sf_dir):
+    """D4 with the reference's default bound."""
+    return D.error_type_counts(_dl(spark, sf_dir), 1000)
 
 
 @query
@@ -329,6 +355,15 @@ def replay_plan_first_100(spark, sf_dir):
     return D.plan_replay(_dl(spark, sf_dir), max_messages=100)
 
 
+@query
+def replay_published(spark, sf_dir):
+    """D5 -> A4: the messages that a replay of the whole topic sends."""
+    sent = D.replay_messages(D.plan_replay(_dl(spark, sf_dir)))
+    path = fresh_dir(spark, "replayed")
+    S.write_messages(sent, "parquet", path)
+    return spark.read.parquet(path).select(M.message_text().alias("value"), "topic")
+
+
 @query
 def replay_summary(spark, sf_dir):
     return D.replay_summary(D.plan_replay(_dl(spark, sf_dir), max_messages=None))
@@ -358,7 +393,7 @@ def is_replayable(spark, sf_dir):
 def _classified(spark, sf_dir) -> DataFrame:
     f = FX.fetch_log(spark, sf_dir)
     return f.select("fetch_id", "status", "attempt", "ts",
-                    *R.classify_fetch(F.col("status"), F.col("body"), F.col("retry_after")))
+                    *R.classify_fetch(F.col("status"), F.col("body"), F.col("retry_after"), F.col("failure"), body_chars=500))
 
 
 @query
@@ -375,7 +410,7 @@ def error_text(spark, sf_dir):
 @query
 def validation_error_text(spark, sf_dir):
     t = FX.text_cells(spark, sf_dir)
-    return t.select("doc_id", T.error_text(F.lit("Validation failed"), field=F.lit("text"), value=F.col("cell")).alias("text"))
+    return t.select("doc_id", T.error_text(F.lit("Validation failed"), field=F.lit("text"), value=F.col("cell"), value_chars=50).alias("text"))
 
 
 @query
@@ -459,15 +494,15 @@ def dead_letter_share(spark, sf_dir):
 
 @query
 def duration_histogram(spark, sf_dir):
-    log = _log(spark, sf_dir)
-    return TM.histogram(log, "send_seconds", TM.SEND_BOUNDS, "send").unionByName(
-        TM.histogram(log, "batch_seconds", TM.BATCH_BOUNDS, "batch")
-    )
+    both = {"send": ("send_seconds", TM.SEND_BOUNDS), "batch": ("batch_seconds", TM.BATCH_BOUNDS)}
+    out = TM.histograms(_log(spark, sf_dir), both)
+    return out.withColumn("total_sum", F.round("total_sum", 4))
 
 
 @query
 def duration_quantiles(spark, sf_dir):
-    return TM.duration_quantiles(_log(spark, sf_dir))
+    out = TM.duration_quantiles(_log(spark, sf_dir))
+    return out.withColumns({p: F.round(p, 9) for p in ("p50", "p99")})
 
 
 @query
@@ -476,10 +511,10 @@ def dlq_status(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- F1-F5, A1, E9
-def _stage_files(spark, df: DataFrame, name: str, files: int = 4, fmt: str = "parquet") -> str:
-    """Land a derived table as ``files`` files (the stream's input folder)."""
+def _stage_files(spark, df: DataFrame, name: str, fmt: str = "parquet") -> str:
+    """Land a derived table at its own partitioning (the stream's input folder)."""
     path = fresh_dir(spark, name)
-    df.repartition(files).write.mode("overwrite").format(fmt).save(path)
+    df.write.mode("overwrite").format(fmt).save(path)
     return path
 
 
@@ -487,22 +522,21 @@ def _stream_users(spark, sf_dir):
     src_path = _stage_files(spark, FX.user_messages(spark, sf_dir), "topic_user_data")
     paths = ST.StreamPaths(table=fresh_dir(spark, "users"), dead_letters=fresh_dir(spark, "dlq"),
                            checkpoint=fresh_dir(spark, "ckpt"), batch_log=fresh_dir(spark, "batch_log"))
-    src = M.MessageSource(topic="user_data", format="parquet", path=src_path, max_per_trigger=1)
+    src = M.MessageSource(topic="user_data", format="parquet", path=src_path)
     ST.run_user_stream(spark, src, paths, available_now=True, now=RUN_NOW)
     return paths
 
 
 @query
 def stream_users(spark, sf_dir):
-    """F1: the topic streamed in micro-batches (one file each) into the
-    change log; the final table equals the batch result."""
+    """the topic streamed into the change log; the final table equals the batch result."""
     return S.current_users(spark, _stream_users(spark, sf_dir).table)
 
 
 @query
 def batch_telemetry(spark, sf_dir):
-    """One row per micro-batch of the user stream."""
-    return ST.batch_log(spark, _stream_users(spark, sf_dir).batch_log)
+    """Batches and records of the user stream, from its batch log."""
+    return ST.batch_totals(ST.batch_log(spark, _stream_users(spark, sf_dir).batch_log))
 
 
 @query
@@ -516,27 +550,50 @@ def stream_read_messages(spark, sf_dir):
     return spark.read.parquet(out).select("partition", "offset", M.message_text().alias("value"))
 
 
-@query
-def stream_route(spark, sf_dir):
-    """landed responses streamed through routing into both sinks;
-    rows per stage read back from the two outputs."""
+def _ingest(spark, sf_dir) -> ST.StreamPaths:
     landed = _stage_files(spark, FX.raw_responses(spark, sf_dir), "landed_responses", fmt="json")
-    paths = ST.StreamPaths(table=fresh_dir(spark, "accepted"), dead_letters=fresh_dir(spark, "dlq"),
-                           checkpoint=fresh_dir(spark, "ckpt"))
+    paths = ST.StreamPaths(table=fresh_dir(spark, "topic"), dead_letters=fresh_dir(spark, "dlq"),
+                           checkpoint=fresh_dir(spark, "ckpt"), batch_log=fresh_dir(spark, "batch_log"))
     ST.run_ingest_stream(spark, landed, paths, RUN_NOW)
+    return paths
+
+
+@query
+def stream_route(spark, sf_dir):
+    """landed responses streamed through routing into both topics;
+    rows per outcome read back from them."""
+    paths = _ingest(spark, sf_dir)
     acc = spark.read.parquet(paths.table).select(F.lit("accepted").alias("outcome"))
-    dl = spark.read.parquet(paths.dead_letters).select(F.col("error_type").alias("outcome"))
+    dl = M.read_dead_letters(spark.read.parquet(paths.dead_letters)).select(F.col("error_type").alias("outcome"))
     return acc.unionByName(dl).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
-def stream_dlq_stats(spark, sf_dir):
-    """error-type counts kept by a streaming aggregation."""
+def ingest_to_table(spark, sf_dir):
+    """F4 -> topic -> F1: landed responses end as the latest row per id."""
+    topic = M.MessageSource(topic="user_data", path=_ingest(spark, sf_dir).table)
+    paths = ST.StreamPaths(table=fresh_dir(spark, "users"), dead_letters=fresh_dir(spark, "dlq"), checkpoint=fresh_dir(spark, "ckpt"))
+    ST.run_user_stream(spark, topic, paths, now=RUN_NOW)
+    return S.current_users(spark, paths.table)
+
+
+def _dlq_stream(spark, sf_dir) -> str:
     src_path = _stage_files(spark, FX.dead_letters(spark, sf_dir), "topic_dlq")
     out, ckpt = fresh_dir(spark, "dlq_stats"), fresh_dir(spark, "ckpt")
-    src = M.MessageSource(topic="user_data_dlq", path=src_path, max_per_trigger=1)
-    ST.run_dlq_stats_stream(spark, src, out, ckpt)
-    return spark.read.parquet(out)
+    ST.run_dlq_stats_stream(spark, M.MessageSource(topic="user_data_dlq", path=src_path), out, ckpt)
+    return out
+
+
+@query
+def stream_dlq_stats(spark, sf_dir):
+    """error-type counts kept by a streaming aggregation."""
+    return ST.dlq_stats_now(spark, _dlq_stream(spark, sf_dir)).select("error_type", "n")
+
+
+@query
+def stream_dlq_totals(spark, sf_dir):
+    """D3's totals from the streamed counts."""
+    return ST.dlq_totals(ST.dlq_stats_now(spark, _dlq_stream(spark, sf_dir)), RUN_NOW)
 
 
 def spark_entry_queries() -> dict[str, Query]:

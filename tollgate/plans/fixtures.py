@@ -185,7 +185,8 @@ DELIVERY_LOG = Fixture(
     None,
     (
         ("event_id", "e.event_id"),
-        ("series", "CASE e.event_type WHEN 'error' THEN 'dlq' WHEN 'click' THEN 'retry' ELSE 'sent' END"),
+        ("series", "CASE WHEN e.event_type = 'error' THEN 'dlq' WHEN e.event_type <> 'click' THEN 'sent' "
+         "WHEN e.event_id % 19 = 0 THEN 'failed' ELSE 'retry' END"),
         ("ts", "e.ts"),
         ("batch_seconds", "e.value / 10"),
         ("send_seconds", "e.value / 100"),
@@ -205,10 +206,16 @@ FETCH_LOG = Fixture(
         (
             "status",
             "CAST(CASE e.event_id % 10 WHEN 0 THEN 429 WHEN 1 THEN 500 WHEN 2 THEN 503 WHEN 3 THEN 400 "
-            "WHEN 4 THEN 404 ELSE 200 END AS INT)",
+            "WHEN 4 THEN 404 WHEN 5 THEN NULL ELSE 200 END AS INT)",
+        ),
+        (
+            "failure",
+            "CASE WHEN e.event_id % 10 <> 5 THEN NULL WHEN e.event_id % 3 = 0 THEN 'timeout' "
+            "WHEN e.event_id % 3 = 1 THEN 'connection' END",
         ),
         ("retry_after", "CAST(CASE WHEN e.event_id % 10 = 0 THEN 60 END AS INT)"),
-        ("body", "CASE WHEN e.event_id % 13 = 0 THEN substr(e.props, 1, 3) ELSE e.props END"),
+        ("body", "CASE WHEN e.event_id % 10 = 5 THEN NULL WHEN e.event_id % 13 = 0 THEN substr(e.props, 1, 3) "
+         "WHEN e.event_id % 14 = 0 THEN e.props || ' x' ELSE e.props END"),
         ("attempt", "CAST(e.user_id % 8 AS INT)"),
     ),
 )

@@ -23,8 +23,10 @@ def _users() -> str:
     )
 
 
-def _routed() -> str:
+def _routed(normalize_first: bool = False) -> str:
     flat = D.flatten_user("u")
+    if normalize_first:
+        flat["gender"] = D.normalize_gender(flat["gender"])
     flat_sql = ", ".join(f"CASE WHEN env IS NULL THEN {e} END AS {k}" for k, e in flat.items())
     c2 = D.column_contract_errors({k: k for k in flat}, C.USER)
     return (
@@ -42,10 +44,13 @@ def _routed() -> str:
 
 ORACLE["route_outcomes"] = _routed() + "SELECT stage, errors[1] AS first_error, count(*) AS n FROM routed GROUP BY ALL"
 
+ORACLE["route_outcomes_normalized"] = _routed(True) + "SELECT stage, errors[1] AS first_error, count(*) AS n FROM routed GROUP BY ALL"
+
 ORACLE["run_summary"] = _routed() + (
     "SELECT count(*) FILTER (WHERE stage = 'accepted') AS success_count, "
     "count(*) FILTER (WHERE stage <> 'accepted') AS failure_count, "
-    "coalesce(count(*) FILTER (WHERE stage = 'accepted') / nullif(count(*), 0), 0.0) AS success_rate FROM routed"
+    "coalesce(count(*) FILTER (WHERE stage = 'accepted') / nullif(count(*), 0), 0.0) AS success_rate, "
+    "CAST(72.5 AS DOUBLE) AS duration_seconds FROM routed"
 )
 
 ORACLE["envelope_errors"] = _parsed() + f"SELECT response_id, {D.envelope_errors('body', 'pj')} AS envelope_error FROM _p"
@@ -182,11 +187,9 @@ def _stats(limit: str) -> str:
     return _dl() + (
         f", _r AS (SELECT * FROM dl WHERE readable ORDER BY \"partition\", \"offset\" {limit})"
         f", _a AS (SELECT error_type, {_replayable()} AS r, {_age('timestamp')} AS age FROM _r)"
-        ", _t AS (SELECT error_type, count(*) AS n, count(*) FILTER (WHERE r) AS nr, max(age) AS age FROM _a GROUP BY error_type) "
-        "SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total_messages, CAST(coalesce(sum(nr), 0) AS BIGINT) AS retryable_count, "
-        "CAST(coalesce(sum(n - nr), 0) AS BIGINT) AS non_retryable_count, "
-        "round(greatest(coalesce(max(age), 0.0), 0.0), 2) AS oldest_message_hours, "
-        "coalesce(string_agg(error_type || '=' || n, ';' ORDER BY error_type), '') AS error_types FROM _t"
+        "SELECT count(*) AS total_messages, count(*) FILTER (WHERE r) AS retryable_count, "
+        "count(*) FILTER (WHERE NOT r) AS non_retryable_count, "
+        "round(greatest(coalesce(max(age), 0.0), 0.0), 2) AS oldest_message_hours FROM _a"
     )
 
 
@@ -211,11 +214,13 @@ def _plan(limit: str) -> str:
 def _classified() -> str:
     bad = "NOT json_valid(body)"
     et = (
-        "CASE WHEN status = 429 THEN 'APIRateLimitError' WHEN status >= 500 THEN 'APIConnectionError' "
+        "CASE WHEN status IS NULL THEN (CASE failure WHEN 'timeout' THEN 'APITimeoutError' "
+        "WHEN 'connection' THEN 'APIConnectionError' ELSE 'APIError' END) WHEN status = 429 THEN 'APIRateLimitError' WHEN status >= 500 THEN 'APIConnectionError' "
         f"WHEN status >= 400 THEN 'APIError' WHEN {bad} THEN 'APIError' END"
     )
     msg = (
-        "CASE WHEN status = 429 THEN 'API rate limit exceeded' WHEN status >= 500 THEN 'Server error: ' || status "
+        "CASE WHEN status IS NULL THEN (CASE failure WHEN 'timeout' THEN 'Request timed out' "
+        "WHEN 'connection' THEN 'Connection failed' ELSE 'Request failed' END) WHEN status = 429 THEN 'API rate limit exceeded' WHEN status >= 500 THEN 'Server error: ' || status "
         f"WHEN status >= 400 THEN 'Client error: ' || status WHEN {bad} THEN 'Invalid JSON response' END"
     )
     keep = f"status >= 500 OR (status >= 400 AND status <> 429) OR (status < 400 AND {bad})"
@@ -250,10 +255,23 @@ ORACLE["is_email"] = _routed() + f"SELECT response_id, email, {D.is_email('email
 ORACLE["upsert_latest"] = _latest()
 ORACLE["current_users"] = _latest()
 ORACLE["replay_idempotent"] = _latest()
+ORACLE["compacted_users"] = _latest()
+ORACLE["batch_telemetry"] = _decoded() + (
+    "SELECT 'users' AS query, 1 AS batches, count(*) AS rows, count(DISTINCT CASE WHEN v IS NOT NULL THEN id END) AS written, "
+    "count(*) FILTER (WHERE v IS NULL OR id IS NULL) AS rejected FROM decoded"
+)
+ORACLE["ingest_to_table"] = _routed() + (
+    f"SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY response_id DESC) AS rn "
+    "FROM routed WHERE stage = 'accepted') WHERE rn = 1"
+)
 ORACLE["stream_users"] = _latest()
 ORACLE["users_table_schema"] = _routed() + f"SELECT {_cols} FROM routed WHERE stage = 'accepted'"
 ORACLE["to_dead_letters"] = _routed() + _dead_letters_from_routed()
 ORACLE["dead_letters_written"] = _routed() + _dead_letters_from_routed()
+ORACLE["dead_letters_roundtrip"] = _routed() + (
+    f"SELECT true AS readable, original_message, error_message, error_type, timestamp, source_topic AS topic, retry_count "
+    f"FROM ({_dead_letters_from_routed()})"
+)
 ORACLE["stream_route"] = _routed() + (
     "SELECT CASE stage WHEN 'accepted' THEN 'accepted' WHEN 'transform' THEN 'TransformationError' "
     "ELSE 'DataValidationError' END AS outcome, count(*) AS n FROM routed GROUP BY ALL"
@@ -272,9 +290,15 @@ ORACLE["dlq_stats"] = _stats("LIMIT 1000")
 ORACLE["dlq_stats_all"] = _stats("")
 ORACLE["dlq_undecodable"] = _dl() + "SELECT count(*) FILTER (WHERE NOT readable) AS undecodable FROM dl"
 ORACLE["dlq_error_types"] = _dl() + "SELECT error_type, count(*) AS n FROM dl WHERE readable GROUP BY error_type"
+ORACLE["dlq_error_types_first_1000"] = _dl() + (
+    ", _r AS (SELECT * FROM dl WHERE readable ORDER BY \"partition\", \"offset\" LIMIT 1000) "
+    "SELECT error_type, count(*) AS n FROM _r GROUP BY error_type"
+)
 ORACLE["stream_dlq_stats"] = ORACLE["dlq_error_types"]
 ORACLE["replay_plan"] = _plan("") + "SELECT * FROM plan"
 ORACLE["replay_plan_first_100"] = _plan("LIMIT 100") + "SELECT * FROM plan"
+ORACLE["replay_published"] = _plan("") + "SELECT body AS value, target_topic AS topic FROM plan WHERE outcome = 'retried'"
+ORACLE["stream_dlq_totals"] = ORACLE["dlq_stats_all"]
 ORACLE["replay_summary"] = _plan("") + (
     "SELECT count(*) FILTER (WHERE outcome = 'retried') AS retried, count(*) FILTER (WHERE outcome = 'skipped') AS skipped, "
     "count(*) FILTER (WHERE outcome = 'failed') AS failed FROM plan"
@@ -303,10 +327,10 @@ ORACLE["backoff_schedule"] = _classified() + (
 )
 ORACLE["fetch_stats"] = _classified() + (
     "SELECT count(*) AS requests, count(*) FILTER (WHERE outcome = 'ok') AS successes, "
-    "count(*) FILTER (WHERE outcome <> 'ok' AND status >= 500) AS retries, "
-    "count(*) FILTER (WHERE outcome <> 'ok' AND NOT status >= 500) AS failures FROM classified"
+    "count(*) FILTER (WHERE outcome <> 'ok' AND (status >= 500 OR (status IS NULL AND is_transient))) AS retries, "
+    "count(*) FILTER (WHERE outcome <> 'ok' AND (status < 500 OR (status IS NULL AND NOT is_transient))) AS failures FROM classified"
 )
-ORACLE["responses_landed"] = duckdb_cte("fetch_log") + "SELECT fetch_id, ts, status, retry_after, body, attempt FROM fetch_log"
+ORACLE["responses_landed"] = duckdb_cte("fetch_log") + "SELECT fetch_id, ts, status, failure, retry_after, body, attempt FROM fetch_log"
 
 # --------------------------------------------------------------------------- text cells
 _cell = "cell"
@@ -336,6 +360,7 @@ _L = duckdb_cte("delivery_log")
 _TSF = "'%Y-%m-%d %H:%M:%S'"
 ORACLE["delivery_stats"] = _L + (
     "SELECT count(*) FILTER (WHERE series = 'sent') AS messages_sent, count(*) FILTER (WHERE series = 'retry') AS send_retries, "
+    "count(*) FILTER (WHERE series = 'failed') AS messages_failed, "
     "count(*) FILTER (WHERE series = 'dlq') AS sent_to_dlq FROM delivery_log"
 )
 ORACLE["counter_totals"] = _L + (
@@ -363,7 +388,7 @@ def _hist(name: str, col: str, bounds) -> str:
     for le, cond in zip(les, conds):
         parts.append(
             f"SELECT '{name}' AS histogram, '{le}' AS le, count(*) FILTER (WHERE {cond}) AS bucket_count, count(*) AS total_count, "
-            f"CAST(coalesce(sum(CAST({col} AS DECIMAL(20,4))), 0) AS DOUBLE) AS total_sum FROM delivery_log"
+            f"round(coalesce(sum({col}), 0.0), 4) AS total_sum FROM delivery_log"
         )
     return " UNION ALL ".join(parts)
 

@@ -6,8 +6,8 @@ here only set what a local run needs and read cluster settings as given.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,23 +33,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A folder under the cluster's shared directory.
 
-    On a cluster the setting names shared storage every executor can reach;
-    it is read, never overwritten.  Only when it is unset (local tests) a
-    fresh temporary folder is set as the checkpoint directory.
+    ``spark.checkpoint.dir`` or else the directory given to ``setCheckpointDir``
+    names storage that every executor can reach; both are read, neither is
+    changed.  Where none is set a local session gets a temporary folder; on a
+    cluster that would be a path executors cannot see, so it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tollgate-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    path = os.path.join(base, *parts) if parts else base
-    return path
+        sc.setCheckpointDir(base)
+    return "/".join([base.rstrip("/"), *parts])
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique (not yet existing) path below the shared directory."""
-    import uuid
-
-    return f"{shared_dir(spark).rstrip('/')}/tollgate/{name}-{uuid.uuid4().hex}"
+    """A new, unique (not yet existing) path below the shared directory; what is
+    written there goes when the session's JVM ends."""
+    path = shared_dir(spark, "tollgate", f"{name}-{uuid.uuid4().hex}")
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path

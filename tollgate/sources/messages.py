@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.functions import variant as V
+from tollgate.operators.contracts import USER_COLUMNS
 
-# Columns of Spark's Kafka source.
+# Columns of Spark's Kafka source.
 KAFKA_SCHEMA = T.StructType(
     [
         T.StructField("key", T.BinaryType()),
@@ -28,17 +29,9 @@ KAFKA_SCHEMA = T.StructType(
     ]
 )
 
-# The stream message schema: 11 strings.  ``from_json`` makes every field
-# nullable whatever is declared, so "not null" is a contract rule instead.
-USER_SCHEMA = T.StructType(
-    [
-        T.StructField(n, T.StringType(), True)
-        for n in (
-            "id", "first_name", "last_name", "gender", "address", "email",
-            "username", "dob", "registered_date", "phone", "picture",
-        )
-    ]
-)
+# The stream message schema: the user contract's fields, all strings.  ``from_json``
+# makes every field nullable whatever is declared, so "not null" is a contract rule instead.
+USER_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in USER_COLUMNS])
 CORRUPT = "_corrupt_record"
 
 # Landed HTTP responses (A3): one row per fetch.
@@ -46,7 +39,8 @@ LANDED_SCHEMA = T.StructType(
     [
         T.StructField("fetch_id", T.LongType()),
         T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("status", T.IntegerType()),
+        T.StructField("status", T.IntegerType()),  # null: no response, see ``failure``
+        T.StructField("failure", T.StringType()),
         T.StructField("retry_after", T.IntegerType()),
         T.StructField("body", T.StringType()),
         T.StructField("attempt", T.IntegerType()),
@@ -138,7 +132,7 @@ def decode_messages(df: DataFrame, schema: T.StructType = USER_SCHEMA, keep: tup
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     data = F.from_json(message_text(), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     # decoded once per row even when callers filter on the decoded fields
-    return V.computed_once(df.select(*keep, "value"), data, "data").select(
+    return V.computed_once(df.select(*dict.fromkeys((*keep, "value"))), data, "data").select(
         *keep, *[F.col(f"data.{f.name}").alias(f.name) for f in schema.fields],
         F.col(f"data.{CORRUPT}").alias(CORRUPT), F.col("data").isNull().alias("_no_data"),
     )

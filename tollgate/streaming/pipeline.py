@@ -2,59 +2,59 @@
 
 * ``run_user_stream``: topic -> decode -> per micro-batch: malformed rows to
   dead letters, the rest upserted into the change-log table (F1, F3).
-* ``run_ingest_stream``: landed responses -> route -> accepted users to the
-  user topic/table, rejected rows to dead letters, in one micro-batch (F4).
-* ``run_dlq_stats_stream``: dead letters -> error-type counts kept current (F5).
-
-Every ``foreachBatch`` persists its batch once, writes both sinks from it,
-counts with ``observe``/the persisted frame, and unpersists in ``finally``.
-A failed batch is retried by Spark with the same batch id; all writes are
-keyed by that id (``overwrite`` of ``batch_id=<n>``), so the retry replaces
-rather than duplicates (at-least-once delivery, idempotent result).
+* ``run_ingest_stream``: landed responses -> route -> accepted users published
+  to the user topic, rejected rows to the dead-letter topic (F4).
+* ``run_dlq_stats_stream``: dead letters -> statistics kept current (F5).
+
+Topics are Kafka topics or folders of Kafka-shaped rows, so F1 reads what F4
+publishes and A8 reads the dead letters of both.  Every ``foreachBatch``
+persists its batch once, writes both sinks from it, and unpersists in
+``finally``.  A failed batch is retried by Spark with the same batch id; all
+file writes go to that id's own folder, so the retry replaces rather than
+duplicates (at-least-once delivery, idempotent result).
 """
 
 from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tollgate.operators.deadletters import to_dead_letters
-from tollgate.operators.route import route
+from tollgate.operators import deadletters as D
+from tollgate.operators.contracts import USER_COLUMNS
+from tollgate.operators.route import is_replayable, route
 from tollgate.sources import messages as M
 from tollgate.sources import sinks as S
 
 # One telemetry row per micro-batch; ``query`` and ``batch_id`` are the
 # folder keys (query=<q>/batch_id=<n>), the file holds the measurements.
-BATCH_LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("rows", T.LongType()),
-        T.StructField("rejected", T.LongType()),
-        T.StructField("seconds", T.DoubleType()),
-    ]
-)
+BATCH_LOG_SCHEMA = "rows BIGINT, written BIGINT, rejected BIGINT, seconds DOUBLE"
 
 
 @dataclass
 class StreamPaths:
-    table: str  # change log of the keyed user table
+    table: str  # change log of the keyed user table; F4: the user topic
     dead_letters: str
     checkpoint: str
     batch_log: str | None = None  # E9 telemetry, one row per micro-batch
 
 
-def _log_batch(spark: SparkSession, paths: StreamPaths, query: str, batch_id: int, rows: int, rejected: int, secs: float):
+def _log_batch(spark: SparkSession, paths: StreamPaths, query: str, batch_id: int, rows: int, written: int, rejected: int, secs: float):
     """One telemetry row per micro-batch, keyed by batch id (replay-safe)."""
     if not paths.batch_log:
         return
-    row = spark.createDataFrame([(int(rows), int(rejected), float(secs))], BATCH_LOG_SCHEMA)
+    row = spark.createDataFrame([(rows, written, rejected, secs)], BATCH_LOG_SCHEMA)
     row.write.mode("overwrite").parquet(f"{paths.batch_log.rstrip('/')}/query={query}/batch_id={int(batch_id)}")
 
 
+def _utc_now() -> str:
+    return datetime.now(timezone.utc).isoformat(timespec="microseconds").replace("+00:00", "Z")
+
+
 def _start(stream_df: DataFrame, fn: Callable, checkpoint: str, available_now: bool, processing_time: str | None):
     w = stream_df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     if available_now:
@@ -66,38 +66,39 @@ def _start(stream_df: DataFrame, fn: Callable, checkpoint: str, available_now: b
 
 def run_user_stream(spark: SparkSession, source: M.MessageSource, paths: StreamPaths, available_now: bool = True,
                     processing_time: str | None = None, timeout: float | None = None,
-                    on_batch: Callable[[DataFrame, int], None] | None = None, now: str | None = None):
+                    on_batch: Callable[[DataFrame, int], None] | None = None, now: str | None = None,
+                    dead_letter_format: str = "parquet"):
     """endless (or ``availableNow`` / time-bounded) user stream.
 
     Offsets live in the checkpoint; a restart resumes after the last
-    committed batch.  ``timeout`` bounds the run (F2): wait, then stop.
+    committed batch.  ``timeout`` bounds the run (F2): wait, then stop.  Dead
+    letters carry the message as it came and ``now``, or the time of their batch.
     """
     raw = M.read_message_stream(spark, source)
-    decoded = M.decode_messages(raw, keep=("partition", "offset", "timestamp"))
+    decoded = M.decode_messages(raw, keep=("partition", "offset", "timestamp", "value"))
 
     def write_batch(batch: DataFrame, batch_id: int):
         t0 = time.time()
+        at = now or _utc_now()
         batch = batch.persist()
         try:
-            good = S.with_order(M.wellformed_messages(batch))
+            kept, gone = Observation(f"kept_{int(batch_id)}"), Observation(f"gone_{int(batch_id)}")
+            good = S.with_order(M.wellformed_messages(batch).drop("value")).observe(kept, F.count(F.lit(1)).alias("n"))
+            text = M.message_text()
             bad = M.malformed_messages(batch).select(
-                F.coalesce(F.col(M.CORRUPT), F.to_json(F.struct(*M.USER_SCHEMA.fieldNames()))).alias("original_message"),
+                text.alias("original_message"),
                 F.lit("DecodeError").alias("error_type"),
                 F.lit("message could not be decoded or has no id").alias("error_message"),
-                F.lit(now or "").alias("timestamp"),
-                F.lit(0).alias("retry_count"),
+                F.lit(at).alias("timestamp"),
+                D.retries_so_far(text).alias("retry_count"),
                 F.lit(source.topic).alias("source_topic"),
-                F.lit(int(batch_id)).alias("batch_id"),
-            )
-            rows = S.upsert_users(good, batch_id, paths.table)
-            obs = Observation(f"rejected_{int(batch_id)}")
-            bad.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-                f"{paths.dead_letters.rstrip('/')}/batch={int(batch_id)}"
-            )
-            rejected = int(obs.get.get("n", 0))
+            ).observe(gone, F.count(F.lit(1)).alias("n"))
+            written = S.upsert_users(good, batch_id, paths.table)
+            S.write_dead_letters(bad, dead_letter_format, paths.dead_letters, batch_id, now=at)
             if on_batch:
                 on_batch(batch, batch_id)
-            _log_batch(spark, paths, "users", batch_id, rows, rejected, time.time() - t0)
+            rejected = int(gone.get["n"])
+            _log_batch(spark, paths, "users", batch_id, int(kept.get["n"]) + rejected, written, rejected, time.time() - t0)
         finally:
             batch.unpersist()
 
@@ -106,50 +107,61 @@ def run_user_stream(spark: SparkSession, source: M.MessageSource, paths: StreamP
     return q
 
 
-def run_ingest_stream(spark: SparkSession, landed_path: str, paths: StreamPaths, now: str,
+def run_ingest_stream(spark: SparkSession, landed_path: str, paths: StreamPaths, now: str | None = None,
                       fmt: str = "json", available_now: bool = True, processing_time: str | None = None,
-                      timeout: float | None = None, on_batch: Callable[[DataFrame, int], None] | None = None):
+                      timeout: float | None = None, on_batch: Callable[[DataFrame, int], None] | None = None,
+                      max_files: int | None = None, topic: str = "user_data", topic_format: str = "parquet",
+                      normalize_first: bool = False):
     """landed responses -> route -> accepted users + dead letters.
 
-    Accepted rows are published (JSON value keyed by id) into the user
-    topic folder ``{table}/batch_id=<n>``; rejected rows become dead letters.
-    Both sinks are written from one persisted routed batch.
+    Accepted rows are published to the user topic (JSON keyed by id, in the
+    order of the responses), rejected rows to the dead-letter topic, both from
+    one persisted routed batch.  ``max_files`` bounds what one micro-batch takes
+    in.  Dead letters carry ``now``, or the time of their batch.
     """
-    landed = spark.readStream.format(fmt).schema("response_id BIGINT, body STRING").load(landed_path)
+    reader = spark.readStream.format(fmt).schema("response_id BIGINT, body STRING")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
 
     def write_batch(batch: DataFrame, batch_id: int):
         t0 = time.time()
-        routed = route(batch).persist()
+        at = now or _utc_now()
+        routed = route(batch, normalize_first=normalize_first).persist()
         try:
-            acc = routed.where(F.col("stage") == "accepted").select("response_id", "user.*")
-            acc.write.mode("overwrite").parquet(f"{paths.table.rstrip('/')}/batch_id={int(batch_id)}")
-            dl = to_dead_letters(routed, now).withColumn("batch_id", F.lit(int(batch_id)))
-            dl.write.mode("overwrite").parquet(f"{paths.dead_letters.rstrip('/')}/batch={int(batch_id)}")
-            counts = {r["stage"]: r["n"] for r in routed.groupBy("stage").agg(F.count(F.lit(1)).alias("n")).collect()}
+            sent, gone = Observation(f"sent_{int(batch_id)}"), Observation(f"gone_{int(batch_id)}")
+            acc = routed.where(F.col("stage") == "accepted").select("response_id", "user.*").observe(sent, F.count(F.lit(1)).alias("n"))
+            published = S.publish_messages(acc, topic, "id", columns=USER_COLUMNS, keep=("response_id",))
+            S.write_messages(published, topic_format, paths.table, batch_id, offset="response_id", now=at)
+            letters = D.to_dead_letters(routed, at, topic).observe(gone, F.count(F.lit(1)).alias("n"))
+            S.write_dead_letters(letters, topic_format, paths.dead_letters, batch_id, now=at)
             if on_batch:
                 on_batch(routed, batch_id)
-            total = sum(counts.values())
-            _log_batch(spark, paths, "ingest", batch_id, total, total - counts.get("accepted", 0), time.time() - t0)
+            written, rejected = int(sent.get["n"]), int(gone.get["n"])
+            _log_batch(spark, paths, "ingest", batch_id, written + rejected, written, rejected, time.time() - t0)
         finally:
             routed.unpersist()
 
-    q = _start(landed, write_batch, paths.checkpoint, available_now, processing_time)
+    q = _start(reader.load(landed_path), write_batch, paths.checkpoint, available_now, processing_time)
     _finish(q, timeout)
     return q
 
 
 def run_dlq_stats_stream(spark: SparkSession, source: M.MessageSource, out_path: str, checkpoint: str,
                          available_now: bool = True, processing_time: str | None = None, timeout: float | None = None):
-    """dead-letter counts per error type, kept current.
+    """D3 and D4 kept current, one row per error type.
 
-    A streaming aggregation (state store keyed by error type, one row per
-    type) in ``complete`` mode; each batch rewrites the small result table.
+    A streaming aggregation (state store keyed by error type) in ``complete``
+    mode.  Each batch writes its own folder, which ``dlq_stats_now`` finds once
+    it is complete, so a failed write leaves the state before.
     """
-    decoded = M.read_dead_letters(M.read_message_stream(spark, source))
-    counts = decoded.where("readable").groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
+    decoded = M.read_dead_letters(M.read_message_stream(spark, source)).where("readable")
+    again = is_replayable(F.col("error_type"), F.col("retry_count"))
+    counts = decoded.groupBy("error_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(again).alias("replayable"), F.min(F.try_to_timestamp(F.col("timestamp"))).alias("oldest")
+    )
 
     def write_batch(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/upto={int(batch_id)}")
 
     w = counts.writeStream.outputMode("complete").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else (w.trigger(processingTime=processing_time) if processing_time else w)
@@ -158,6 +170,29 @@ def run_dlq_stats_stream(spark: SparkSession, source: M.MessageSource, out_path:
     return q
 
 
+DLQ_STATS_SCHEMA = "error_type STRING, n BIGINT, replayable BIGINT, oldest TIMESTAMP"
+
+
+def dlq_stats_now(spark: SparkSession, out_path: str) -> DataFrame:
+    """the newest complete counts by error type; no rows before the first batch."""
+    upto = S.compacted_upto(spark, out_path)
+    if upto is None:
+        return spark.createDataFrame([], DLQ_STATS_SCHEMA)
+    return spark.read.schema(DLQ_STATS_SCHEMA).parquet(f"{out_path.rstrip('/')}/upto={upto}")
+
+
+def dlq_totals(stats: DataFrame, now: str) -> DataFrame:
+    """D3's row of totals from F5's counts by error type."""
+    hours = (F.unix_micros(F.to_timestamp(F.lit(now))) - F.unix_micros(F.min("oldest"))).cast("double") / 3_600_000_000
+    total, again = (F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "replayable"))
+    return stats.agg(
+        total.alias("total_messages"),
+        again.alias("retryable_count"),
+        (total - again).alias("non_retryable_count"),
+        F.round(F.greatest(F.coalesce(hours, F.lit(0.0)), F.lit(0.0)), 2).alias("oldest_message_hours"),
+    )
+
+
 def _finish(q, timeout: float | None):
     """Wait for an ``availableNow`` run, or stop after ``timeout`` (F2)."""
     if timeout is None:
@@ -170,5 +205,11 @@ def _finish(q, timeout: float | None):
 
 
 def batch_log(spark: SparkSession, path: str) -> DataFrame:
-    """The per-batch telemetry table (query, batch_id, rows, rejected, seconds)."""
-    return spark.read.parquet(path).select("query", F.col("batch_id").cast("long"), "rows", "rejected", "seconds")
+    """The per-batch telemetry table; ``rows`` came in, ``written`` are the rows of the
+    sink (one per id in F1), ``rejected`` the dead letters."""
+    return spark.read.parquet(path).select("query", F.col("batch_id").cast("long"), "rows", "written", "rejected", "seconds")
+
+
+def batch_totals(log: DataFrame) -> DataFrame:
+    """E3 from the batch log: batches and records of each stream."""
+    return log.groupBy("query").agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in ("rows", "written", "rejected")])
