@@ -2,16 +2,87 @@
 
 The oracle is an independent evaluation of the same semantics on another
 engine: JSON through DuckDB's ``json_*`` functions, regexes through RE2.
-Only expression text is produced here; nothing runs.
+Rules, messages, patterns and lists are written out here once more and not
+taken from the code under test, so that the two can disagree.  Only
+expression text is produced here; nothing runs.
 """
 
 from __future__ import annotations
 
-from tollgate.functions.text import EMAIL_PATTERN, GENDERS, PY_WHITESPACE_CODEPOINTS, UUID_PATTERN
-from tollgate.functions.ids import NAMESPACE_URL_HEX
-from tollgate.operators import contracts as C
-
-WS = "(" + " || ".join(f"chr({c})" for c in PY_WHITESPACE_CODEPOINTS) + ")"
+from typing import NamedTuple
+
+# What Python's strip() removes, the e-mail and id shapes, the genders,
+# the namespace of URL ids.
+SPACES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\n?\z"
+UUID = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\n?\z"
+GENDERS = ("male", "female", "other")
+URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
+
+WS = "(" + " || ".join(f"chr({c})" for c in SPACES) + ")"
+SPACE = "[" + "".join(f"\\x{{{c:x}}}" for c in SPACES) + "]"
+
+
+class Rule(NamedTuple):
+    """A field: its dotted path, what it must be, and (failed?, message) checks on the text @v."""
+
+    path: str
+    kind: str  # text, int, object, or any: turned into text, null into ''
+    checks: tuple[tuple[str, str], ...] = ()
+
+
+def _length(least: int | None, most: int) -> tuple[tuple[str, str], ...]:
+    low = ((f"length(@v) < {least}", f"'ensure this value has at least {least} characters'"),) if least else ()
+    return (*low, (f"length(@v) > {most}", f"'ensure this value has at most {most} characters'"))
+
+
+_EMAIL = ((f"NOT regexp_matches(@v, '{EMAIL}')", "'Invalid email format: ' || @v"),)
+_UUID = ((f"NOT regexp_matches(lower(@v), '{UUID}')", "'Invalid UUID format: ' || @v"),)
+_GENDER = (("@v NOT IN ('male', 'female', 'other')", "'Invalid gender: ' || @v || '. Must be male, female, or other'"),)
+
+# Contract 1: the user inside an API response.
+API_NAME = "UserAPIResponse"
+API_RULES = (
+    Rule("gender", "text"),
+    Rule("name", "object"),
+    Rule("name.first", "text"),
+    Rule("name.last", "text"),
+    Rule("location", "object"),
+    Rule("location.street", "object"),
+    Rule("location.street.number", "int"),
+    Rule("location.street.name", "text"),
+    Rule("location.city", "text"),
+    Rule("location.state", "text"),
+    Rule("location.country", "text"),
+    Rule("location.postcode", "any"),
+    Rule("email", "text", _EMAIL),
+    Rule("login", "object"),
+    Rule("login.username", "text"),
+    Rule("dob", "object"),
+    Rule("dob.date", "text"),
+    Rule("dob.age", "int"),
+    Rule("registered", "object"),
+    Rule("registered.date", "text"),
+    Rule("phone", "text"),
+    Rule("picture", "object"),
+    Rule("picture.medium", "text"),
+)
+# Contract 2: the flat user; other keys are errors.
+USER_NAME = "TransformedUser"
+USER_RULES = (
+    Rule("id", "text", _length(36, 36) + _UUID),
+    Rule("first_name", "text", _length(1, 100)),
+    Rule("last_name", "text", _length(1, 100)),
+    Rule("gender", "text", _GENDER),
+    Rule("address", "text", _length(1, 500)),
+    Rule("email", "text", _EMAIL),
+    Rule("username", "text", _length(1, 100)),
+    Rule("dob", "text"),
+    Rule("registered_date", "text"),
+    Rule("phone", "text", _length(None, 50)),
+    Rule("picture", "text"),
+)
+USER_COLUMNS = tuple(r.path for r in USER_RULES)
 
 
 def q(s: str) -> str:
@@ -78,11 +149,11 @@ def rx(s: str, pattern: str) -> str:
 
 
 def is_email(s: str) -> str:
-    return rx(s, EMAIL_PATTERN)
+    return rx(s, EMAIL)
 
 
 def is_uuid(s: str) -> str:
-    return f"(length({s}) = 36 AND {rx(f'lower({s})', UUID_PATTERN)})"
+    return f"(length({s}) = 36 AND {rx(f'lower({s})', UUID)})"
 
 
 def normalize_gender(s: str) -> str:
@@ -91,7 +162,7 @@ def normalize_gender(s: str) -> str:
 
 
 def uuid5_url(name: str) -> str:
-    h = f"sha1(unhex('{NAMESPACE_URL_HEX}') || encode({name}))"
+    h = f"sha1(unhex('{URL_NAMESPACE}') || encode({name}))"
     variant = f"translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab')"
     return (
         f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || '5' || substr({h}, 14, 3) || '-' || "
@@ -112,96 +183,75 @@ def _chain(steps: list[tuple[str, str]]) -> str:
     return "(CASE " + " ".join(f"WHEN {c} THEN {m}" for c, m in steps) + " END)"
 
 
-def _fmt(template: str, value: str) -> str:
-    head, sep, tail = template.partition("{v}")
-    return f"({q(head)} || {value} || {q(tail)})" if sep else q(template)
-
-
-def _value_checks(f: C.Field, s: str) -> list[tuple[str, str]]:
-    out = []
-    if f.min_length is not None:
-        out.append((f"length({s}) < {f.min_length}", q(C.MSG_MIN.format(n=f.min_length))))
-    if f.max_length is not None:
-        out.append((f"length({s}) > {f.max_length}", q(C.MSG_MAX.format(n=f.max_length))))
-    if f.allowed is not None:
-        allowed = ", ".join(q(a) for a in f.allowed)
-        out.append((f"{s} NOT IN ({allowed})", _fmt(f.allowed_message or "value not allowed: {v}", s)))
-    if f.pattern is not None:
-        target = f"lower({s})" if f.pattern_on_lower else s
-        out.append((f"NOT {rx(target, f.pattern)}", _fmt(f.pattern_message or "invalid value: {v}", s)))
-    return out
+def _checks(r: Rule, s: str) -> list[tuple[str, str]]:
+    return [(cond.replace("@v", s), f"({message.replace('@v', s)})") for cond, message in r.checks]
 
 
 def _pref(p: str, msg: str) -> str:
     return f"({q('Field ' + chr(39) + p + chr(39) + ': ')} || {msg})"
 
 
-def _field_errors(rec: str, keys: tuple, f: C.Field) -> list[str]:
-    p = ".".join(keys)
+def _field_error(rec: str, r: Rule) -> str:
+    keys = r.path.split(".")
     v = get(rec, *keys)
     t = jtype(v)
-    steps = []
-    if f.required:
-        steps.append((f"{v} IS NULL", q(C.MSG_REQUIRED)))
-    if f.kind == "object":
-        steps += [(f"{t} = 'NULL'", q(C.MSG_NONE)), (f"{t} <> 'OBJECT'", q(C.MSG_DICT))]
-        errs = [_pref(p, _chain(steps))]
-        ok = f"({present(v)} AND {t} = 'OBJECT')"
-        for child in f.children:
-            for e in _field_errors(rec, keys + (child.name,), child):
-                errs.append(f"(CASE WHEN {ok} THEN {e} END)")
-        return errs
     s = py_text(v)
-    if f.kind == "int":
-        from tollgate.operators.contracts import PY_INT_TEXT
-
-        ok = f"({t} IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'BOOLEAN') OR ({t} = 'VARCHAR' AND {rx(s, PY_INT_TEXT)}))"
-        steps += [(f"{t} = 'NULL'", q(C.MSG_NONE)), (f"NOT {ok}", q(C.MSG_INT))]
-    elif f.none_as_empty:
-        s = f"coalesce({s}, '')"
+    steps = [(f"{v} IS NULL", "'field required'")]
+    none = (f"{t} = 'NULL'", "'none is not an allowed value'")
+    if r.kind == "object":
+        steps += [none, (f"{t} <> 'OBJECT'", "'value is not a valid dict'")]
+    elif r.kind == "int":
+        text = rf"^{SPACE}*[+-]?\p{{Nd}}+(_\p{{Nd}}+)*{SPACE}*\z"
+        ok = f"({t} IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'BOOLEAN') OR ({t} = 'VARCHAR' AND {rx(s, text)}))"
+        steps += [none, (f"NOT {ok}", "'value is not a valid integer'")]
+    elif r.kind == "text":
+        steps += [none, (f"{t} IN ('OBJECT', 'ARRAY')", "'str type expected'")]
     else:
-        steps += [(f"{t} = 'NULL'", q(C.MSG_NONE)), (f"{t} IN ('OBJECT', 'ARRAY')", q(C.MSG_STR))]
-    steps += [(f"({c}) AND {v} IS NOT NULL", m) for c, m in _value_checks(f, s)]
-    return [_pref(p, _chain(steps))]
+        s = f"coalesce({s}, '')"
+    steps += [(f"({c}) AND {v} IS NOT NULL", m) for c, m in _checks(r, s)]
+    error = _pref(r.path, _chain(steps))
+    if len(keys) == 1:
+        return error
+    parent = get(rec, *keys[:-1])  # one error on a parent, none on its leaves
+    return f"(CASE WHEN {present(parent)} AND {jtype(parent)} = 'OBJECT' THEN {error} END)"
 
 
 def compact(errs: list[str]) -> str:
     return "list_filter([" + ", ".join(errs) + "], lambda x: x IS NOT NULL)"
 
 
-def contract_errors(rec: str, contract: C.Contract) -> str:
-    errs = []
-    for f in contract.fields:
-        errs += _field_errors(rec, (f.name,), f)
-    out = compact(errs)
-    if contract.forbid_extra:
-        known = "[" + ", ".join(q(k) for k in contract.keys()) + "]"
+def contract_errors(rec: str, name: str, rules: tuple[Rule, ...], forbid_extra: bool) -> str:
+    out = compact([_field_error(rec, r) for r in rules])
+    if forbid_extra:
+        known = "[" + ", ".join(q(r.path) for r in rules) + "]"
         extra = f"list_sort(list_filter(json_keys({rec}), lambda k: NOT list_contains({known}, k)))"
-        out = (
-            f"list_concat({out}, list_transform({extra}, lambda k: 'Field ''' || k || ''': {C.MSG_EXTRA}'))"
-        )
-    root = f"['Field ''__root__'': {contract.name} expected dict not ' || {python_type_name(rec)}]"
+        out = f"list_concat({out}, list_transform({extra}, lambda k: 'Field ''' || k || ''': extra fields not permitted'))"
+    root = f"['Field ''__root__'': {name} expected dict not ' || {python_type_name(rec)}]"
     return f"(CASE WHEN {present(rec)} AND {jtype(rec)} = 'OBJECT' THEN {out} ELSE {root} END)"
 
 
-def column_contract_errors(cols: dict[str, str], contract: C.Contract) -> str:
-    errs = []
-    for f in contract.fields:
-        c = cols[f.name]
-        steps = [(f"{c} IS NULL", q(C.MSG_REQUIRED))] + _value_checks(f, c)
-        errs.append(_pref(f.name, _chain(steps)))
-    return compact(errs)
+def api_errors(rec: str) -> str:
+    return contract_errors(rec, API_NAME, API_RULES, False)
+
+
+def user_errors(rec: str) -> str:
+    return contract_errors(rec, USER_NAME, USER_RULES, True)
+
+
+def column_user_errors() -> str:
+    """Contract 2 on the columns of the flat user."""
+    return compact([_pref(r.path, _chain([(f"{r.path} IS NULL", "'field required'"), *_checks(r, r.path)])) for r in USER_RULES])
 
 
 def envelope_errors(body: str, pj: str) -> str:
     r = get(pj, "results")
     first = get(pj, "results", 0)
     return (
-        f"(CASE WHEN {pj} IS NULL OR json_type({pj}) <> 'OBJECT' THEN {q(C.ENV_NOT_DICT)} "
-        f"WHEN {r} IS NULL THEN {q(C.ENV_NO_RESULTS)} "
+        f"(CASE WHEN {pj} IS NULL OR json_type({pj}) <> 'OBJECT' THEN 'Response is not a dictionary' "
+        f"WHEN {r} IS NULL THEN 'Missing ''results'' key in response' "
         f"WHEN {first} IS NOT NULL THEN NULL "
-        f"WHEN NOT {truthy(r)} THEN {q(C.ENV_EMPTY)} "
-        f"ELSE {q(C.ENV_NOT_ARRAY)} END)"
+        f"WHEN NOT {truthy(r)} THEN 'Empty results array' "
+        f"ELSE '''results'' is not an array' END)"
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tollgate.operators import contracts as C
 from tollgate.plans import duck as D
 from tollgate.plans.fixtures import duckdb_cte
 
@@ -28,11 +27,11 @@ def _routed(normalize_first: bool = False) -> str:
     if normalize_first:
         flat["gender"] = D.normalize_gender(flat["gender"])
     flat_sql = ", ".join(f"CASE WHEN env IS NULL THEN {e} END AS {k}" for k, e in flat.items())
-    c2 = D.column_contract_errors({k: k for k in flat}, C.USER)
+    c2 = D.column_user_errors()
     return (
         _parsed()
         + f", _e AS (SELECT response_id, body, {D.envelope_errors('body', 'pj')} AS env, {D.get('pj', 'results', 0)} AS u FROM _p)"
-        + f", _c1 AS (SELECT *, CASE WHEN env IS NULL THEN {D.contract_errors('u', C.API_USER)} END AS c1 FROM _e)"
+        + f", _c1 AS (SELECT *, CASE WHEN env IS NULL THEN {D.api_errors('u')} END AS c1 FROM _e)"
         + f", _f AS (SELECT *, {flat_sql} FROM _c1)"
         + f", _c2 AS (SELECT *, CASE WHEN env IS NULL AND len(c1) = 0 THEN {c2} END AS c2 FROM _f)"
         + ", routed AS (SELECT *, CASE WHEN env IS NOT NULL THEN 'envelope' WHEN len(c1) > 0 THEN 'contract' "
@@ -55,13 +54,13 @@ ORACLE["run_summary"] = _routed() + (
 
 ORACLE["envelope_errors"] = _parsed() + f"SELECT response_id, {D.envelope_errors('body', 'pj')} AS envelope_error FROM _p"
 
-_ce = D.contract_errors("u", C.API_USER)
+_ce = D.api_errors("u")
 ORACLE["api_contract_errors"] = _users() + (
     f"SELECT response_id, len({_ce}) AS n_errors, array_to_string({_ce}, ' | ') AS errors FROM _users"
 )
 
 _mt = "CAST(value AS VARCHAR)"
-_uce = D.contract_errors("v", C.USER)
+_uce = D.user_errors("v")
 ORACLE["user_contract_errors"] = duckdb_cte("user_messages") + (
     ", _m AS (SELECT partition, \"offset\", CASE WHEN json_valid(value_text) THEN CAST(value_text AS JSON) END AS v FROM user_messages) "
     f"SELECT partition, \"offset\", len({_uce}) AS n_errors, array_to_string({_uce}, ' | ') AS errors FROM _m"
@@ -96,12 +95,15 @@ ORACLE["postcode_text"] = _users() + (
 )
 
 # --------------------------------------------------------------------------- shared DuckDB pieces
-from tollgate.operators import route as R  # noqa: E402
-from tollgate.operators import telemetry as TM  # noqa: E402
-from tollgate.plans.catalog import RUN_NOW  # noqa: E402
-from tollgate.sources.messages import USER_SCHEMA  # noqa: E402
-
-USER_COLS = list(C.USER_COLUMNS)
+RUN_NOW = "2024-02-01T00:00:00Z"
+# Errors that are retried in-process, errors that are replayed and how often,
+# bounds of the two histograms in seconds.
+TRANSIENT = ("APIConnectionError", "APITimeoutError", "APIRateLimitError", "KafkaConnectionError", "CassandraConnectionError")
+REPLAYABLE, REPLAY_LIMIT = ("ConnectionError", "TimeoutError", "CassandraWriteError", "KafkaConnectionError"), 3
+SEND_BOUNDS = (0.01, 0.05, 0.1, 0.5, 1.0, 5.0)
+BATCH_BOUNDS = (0.1, 0.5, 1.0, 5.0, 10.0, 30.0)
+
+USER_COLS = list(D.USER_COLUMNS)
 _cols = ", ".join(USER_COLS)
 
 
@@ -114,7 +116,7 @@ def _json_or_null(text: str) -> str:
 
 
 def _decoded() -> str:
-    fields = ", ".join(f"json_extract_string(v, {D.path(f)}) AS {f}" for f in USER_SCHEMA.fieldNames())
+    fields = ", ".join(f"json_extract_string(v, {D.path(f)}) AS {f}" for f in USER_COLS)
     return duckdb_cte("user_messages") + (
         f", _m0 AS (SELECT \"partition\", \"offset\", \"timestamp\", {_json_or_null('value_text')} AS j FROM user_messages)"
         ", _m AS (SELECT *, CASE WHEN json_type(j) = 'OBJECT' THEN j END AS v FROM _m0)"
@@ -180,7 +182,7 @@ def _age(ts: str) -> str:
 
 
 def _replayable(et: str = "error_type", rc: str = "retry_count") -> str:
-    return f"coalesce({et} IN ({', '.join(D.q(v) for v in R.REPLAYABLE_ERRORS)}) AND {rc} < {R.REPLAY_LIMIT}, false)"
+    return f"coalesce({et} IN ({', '.join(D.q(v) for v in REPLAYABLE)}) AND {rc} < {REPLAY_LIMIT}, false)"
 
 
 def _stats(limit: str) -> str:
@@ -230,7 +232,7 @@ def _classified() -> str:
         "CASE WHEN error_type IS NULL THEN 'ok' ELSE 'error' END AS outcome, error_type, error_message, "
         "CASE WHEN status >= 400 THEN status END AS status_code, "
         f"CASE WHEN {keep} THEN substr(body, 1, 500) END AS response_body, "
-        f"{_in('error_type', R.TRANSIENT_ERRORS)} AS is_transient, "
+        f"{_in('error_type', TRANSIENT)} AS is_transient, "
         "CASE WHEN status = 429 THEN retry_after END AS retry_after FROM _c)\n"
     )
 
@@ -305,7 +307,7 @@ ORACLE["replay_summary"] = _plan("") + (
 )
 ORACLE["dlq_sample"] = _dl() + "SELECT * FROM dl WHERE readable ORDER BY \"partition\", \"offset\" LIMIT 5"
 ORACLE["is_transient"] = _dl() + (
-    f"SELECT \"partition\", \"offset\", error_type, {_in('error_type', R.TRANSIENT_ERRORS)} AS is_transient FROM dl WHERE readable"
+    f"SELECT \"partition\", \"offset\", error_type, {_in('error_type', TRANSIENT)} AS is_transient FROM dl WHERE readable"
 )
 ORACLE["is_replayable"] = _dl() + (
     f"SELECT \"partition\", \"offset\", error_type, retry_count, {_replayable()} AS is_replayable FROM dl WHERE readable"
@@ -394,7 +396,7 @@ def _hist(name: str, col: str, bounds) -> str:
 
 
 ORACLE["duration_histogram"] = _L + (
-    _hist("send", "send_seconds", TM.SEND_BOUNDS) + " UNION ALL " + _hist("batch", "batch_seconds", TM.BATCH_BOUNDS)
+    _hist("send", "send_seconds", SEND_BOUNDS) + " UNION ALL " + _hist("batch", "batch_seconds", BATCH_BOUNDS)
 )
 
 
@@ -409,13 +411,13 @@ def _quantile(q: float, bounds) -> str:
     return f"CASE WHEN cnt > 0 THEN round(CASE {' '.join(whens)} ELSE {_f(bounds[-1])} END, 9) END"
 
 
-_qb = ", ".join(f"count(*) FILTER (WHERE batch_seconds <= {_f(b)}) AS b{i}" for i, b in enumerate(TM.BATCH_BOUNDS))
+_qb = ", ".join(f"count(*) FILTER (WHERE batch_seconds <= {_f(b)}) AS b{i}" for i, b in enumerate(BATCH_BOUNDS))
 ORACLE["duration_quantiles"] = _L + (
     f", _g AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ws, {_qb}, count(*) AS cnt FROM delivery_log GROUP BY ws) "
-    f"SELECT strftime(ws, {_TSF}) AS window_start, cnt, {_quantile(0.5, TM.BATCH_BOUNDS)} AS p50, "
-    f"{_quantile(0.99, TM.BATCH_BOUNDS)} AS p99 FROM _g"
+    f"SELECT strftime(ws, {_TSF}) AS window_start, cnt, {_quantile(0.5, BATCH_BOUNDS)} AS p50, "
+    f"{_quantile(0.99, BATCH_BOUNDS)} AS p99 FROM _g"
 )
 ORACLE["dlq_status"] = _L + (
     ", _t AS (SELECT count(*) FILTER (WHERE series = 'dlq') AS dlq_total FROM delivery_log) "
-    f"SELECT dlq_total, CASE WHEN dlq_total >= {TM.DLQ_RED_FROM} THEN 'red' ELSE 'green' END AS status FROM _t"
+    f"SELECT dlq_total, CASE WHEN dlq_total >= 1 THEN 'red' ELSE 'green' END AS status FROM _t"
 )
