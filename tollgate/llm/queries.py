@@ -88,4 +88,57 @@ QUERIES = {
     "op10_tree_search": op10_tree_search,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL for the queries that it can express.  The others rest on models, hashes, compression or an
+#: approximate search, and are tested against brute force.
+ORACLE_SQL = {
+    "op8_decontamination": r"""
+WITH doc AS (
+  SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+item AS (
+  SELECT item_id AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (
+  SELECT item, ws, least(13, len(ws)) AS n, unnest(range(0, greatest(len(ws) - 12, 1))) AS s FROM item WHERE len(ws) > 0),
+item_win AS (SELECT DISTINCT item, n, array_to_string(ws[s + 1 : s + n], ' ') AS text FROM win),
+size AS (SELECT DISTINCT n FROM item_win),
+doc_start AS (SELECT id, ws, n, unnest(range(0, len(ws) - n + 1)) AS s FROM doc, size),
+hit AS (
+  SELECT id, s, n, item FROM (SELECT id, s, n, array_to_string(ws[s + 1 : s + n], ' ') AS text FROM doc_start) JOIN item_win USING (n, text)),
+covered AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY id),
+named AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM hit) GROUP BY id),
+token AS (SELECT id, unnest(ws) AS term, unnest(range(0, len(ws))) AS pos FROM doc),
+term_count AS (SELECT term, count(*) AS n FROM token GROUP BY term),
+place AS (
+  SELECT win.item, win.n AS len, win.s, win.s + o AS off, ws[win.s + o + 1] AS term FROM win, range(0, 13) AS t(o) WHERE o < win.n),
+ranked AS (
+  SELECT item, s, len, off, count(*) OVER (PARTITION BY item, s) AS known,
+    row_number() OVER (PARTITION BY item, s ORDER BY term_count.n, off) AS rn FROM place JOIN term_count USING (term)),
+anchor AS (
+  SELECT DISTINCT r.item, r.off, item.ws[r.off + 1] AS term FROM ranked r JOIN item USING (item) WHERE known = len AND rn <= 2),
+found AS (SELECT id, item, pos - off AS shift, off FROM token JOIN anchor USING (term)),
+pair AS (
+  SELECT id, item, off, shift - lag(shift) OVER w AS gap, lag(off) OVER w AS other FROM found
+  WINDOW w AS (PARTITION BY id, item ORDER BY shift, off)),
+near AS (SELECT id, count(DISTINCT item) AS n_near FROM pair WHERE gap <= 3 AND other <> off GROUP BY id)
+SELECT id AS doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated,
+  coalesce(n_near, 0) AS n_near
+FROM doc LEFT JOIN covered USING (id) LEFT JOIN named USING (id) LEFT JOIN near USING (id)
+""",
+    "op9_substrings": r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(ws[s : s + 12], ' ') AS text FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS s FROM doc)),
+first AS (SELECT text, min(doc_id) AS first_id FROM win GROUP BY text),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM win JOIN first USING (text) WHERE first_id < doc_id),
+word AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM doc),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY p) AS text FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+""",
+}
