@@ -299,9 +299,8 @@ def _dl(spark, sf_dir) -> DataFrame:
 @query
 def dlq_read_bounded(spark, sf_dir):
     """A2: the first 1000 messages of the dead-letter topic (bounded read)."""
-    return M.first_rows(FX.dead_letters(spark, sf_dir), 1000).select(
-        "partition", "offset", M.message_text().alias("value")
-    )
+    source = M.MessageSource(topic="user_data_dlq", path=_stage_files(spark, FX.dead_letters(spark, sf_dir), "topic_dlq"))
+    return M.read_message_batch(spark, source, 1000).select("partition", "offset", M.message_text().alias("value"))
 
 
 @query
