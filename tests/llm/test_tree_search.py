@@ -66,9 +66,10 @@ def test_recall_on_the_given_table(spark):
     assert recall(lists(queries.op10_tree_search(spark, path).collect()), brute(rows)) >= 0.9
 
 
-def test_all_leaves_and_blocks_give_the_exact_answer(spark):
+@pytest.mark.parametrize("near", [0, 2, 1000])
+def test_all_leaves_and_blocks_give_the_exact_answer(spark, near):
     rows = list(enumerate(clustered(700, 8).tolist()))
-    got = tree_search.search(frame(spark, rows), leaf=20, target=1.0, calibration=100, block=7)
+    got = tree_search.search(frame(spark, rows), leaf=20, target=1.0, calibration=100, block=7, near=near)
     got = got.withColumnsRenamed({"query": "query_id", "id": "vec_id"}).collect()
     want = brute(rows)
     assert {q: [i for i, _ in x] for q, x in lists(got).items()} == {q: [i for i, _ in x] for q, x in want.items()}
