@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -18,7 +19,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
+from tokenizers import Tokenizer, models, normalizers
 
 MARK = "▁"
 
@@ -97,43 +98,37 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(model.pieces[i][0][:k], model.pieces[i][0][k:]) for _, i, k in sorted(found)]
 
 
-def tokenizer(model: Model) -> Tokenizer:
+def backend(model: Model) -> Tokenizer:
+    """The model without normaliser and splitting, which ``Codec`` applies."""
     if any(kind == USER_DEFINED for *_, kind in model.pieces):
         raise ValueError("models with user-defined pieces aren't supported")
     unknown = model.pieces[model.unknown][0]
     if model.kind == UNIGRAM:
-        core = models.Unigram([(p, s) for p, s, _ in model.pieces], unk_id=model.unknown, byte_fallback=model.byte_fallback)
-    elif model.kind == BPE:
+        return Tokenizer(models.Unigram([(p, s) for p, s, _ in model.pieces], unk_id=model.unknown, byte_fallback=model.byte_fallback))
+    if model.kind == BPE:
         ids = {p: i for i, (p, *_) in enumerate(model.pieces)}
-        core = models.BPE(ids, merges(model), unk_token=unknown, fuse_unk=True, byte_fallback=model.byte_fallback)
-    else:
-        raise ValueError(f"model type {model.kind} isn't supported")
-    out = Tokenizer(core)
-    steps: list = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
-    if model.remove_extra:
-        steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Replace(Regex("^ +| +$"), "")]
-    if model.dummy_prefix:
-        steps.append(normalizers.Prepend(" "))
-    if model.escape:
-        steps.append(normalizers.Replace(" ", MARK))
-    if steps:
-        out.normalizer = normalizers.Sequence(steps)
-    # no piece goes on past a word's end: words can be encoded, and kept, by themselves
-    if all(MARK not in p.lstrip(MARK) for p, *_ in model.pieces):
-        out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*"), "isolated")
-    return out
+        return Tokenizer(models.BPE(ids, merges(model), unk_token=unknown, fuse_unk=True, byte_fallback=model.byte_fallback))
+    raise ValueError(f"model type {model.kind} isn't supported")
 
 
 class Codec:
-    """Encoder and decoder of one model, with SentencePiece beside them for parity."""
+    """Encoder and decoder of one model, with SentencePiece beside them for parity.
+
+    Where no piece goes on past a word's end, words are encoded by themselves, each once as long as it
+    is among the last ``words`` different ones.  Ids are little-endian 32-bit integers.
+    """
 
-    def __init__(self, raw: bytes, threads: int):
+    def __init__(self, raw: bytes, threads: int, words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         self.model = parse(raw)
-        self.fast = tokenizer(self.model)
+        self.fast = backend(self.model)
         self.own = sentencepiece.SentencePieceProcessor(model_proto=raw)
-        self.threads = threads
+        self.threads, self.words = threads, words
+        self.charsmap = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
+        apart = all(MARK not in p.lstrip(MARK) for p, *_ in self.model.pieces)
+        self.split = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall if apart else lambda text: [text] if text else []
+        self.known: dict[str, bytes] = {}
         self.bytes_of = [self._bytes(p, kind) for p, _, kind in self.model.pieces]
 
     def _bytes(self, piece: str, kind: int) -> bytes:
@@ -143,8 +138,28 @@ class Codec:
             return b""
         return " ⁇ ".encode() if kind == UNKNOWN else piece.replace(MARK, " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.fast.encode_batch_fast(texts, add_special_tokens=False)]
+    def normalise(self, text: str) -> str:
+        if self.charsmap:
+            text = self.charsmap.normalize_str(text)
+        if self.model.remove_extra:
+            text = re.sub(" {2,}", " ", text).strip(" ")
+        if self.model.dummy_prefix and text:
+            text = " " + text
+        return text.replace(" ", MARK) if self.model.escape else text
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text; words not yet known are encoded together, on several threads."""
+        cut = [self.split(self.normalise(t)) for t in texts]
+        if len(self.known) > self.words:
+            self.known = {}
+        new = list(set().union(*cut) - self.known.keys())
+        for word, e in zip(new, self.fast.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(e.ids, "<i4").tobytes()
+        return [b"".join([self.known[w] for w in words]) for words in cut]
+
+    def reference(self, texts: list[str]) -> list[bytes]:
+        """SentencePiece's own ids of whole texts."""
+        return [np.array(i, "<i4").tobytes() for i in self.own.encode(texts, num_threads=self.threads)]
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join([self.bytes_of[i] for i in ids])
@@ -172,10 +187,11 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
                 texts = b.column(1).to_pylist()
-                ids = codec.encode(texts)
-                parity = [a == w for a, w in zip(ids, codec.own.encode(texts, num_threads=threads), strict=True)]
-                trip = [codec.decode(i) == t for i, t in zip(ids, texts, strict=True)]
-                digest = [hashlib.sha256(np.array(i, "<i4").tobytes()).hexdigest() for i in ids]
+                found = codec.encode(texts)
+                parity = [a == w for a, w in zip(found, codec.reference(texts), strict=True)]
+                ids = [np.frombuffer(i, "<i4") for i in found]
+                trip = [codec.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)]
+                digest = [hashlib.sha256(i).hexdigest() for i in found]
                 kept = pa.array(ids if keep_ids else [None] * len(ids), pa.list_(pa.int32()))
                 n = pa.array([len(i) for i in ids], pa.int64())
                 cols = [b.column(0), kept, n, pa.array(digest, pa.string()), pa.array(parity, pa.bool_()), pa.array(trip, pa.bool_())]
