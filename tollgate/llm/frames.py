@@ -34,12 +34,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Lets the session hand at most ``rows`` rows to Python at once, instead of Spark's 10,000.
+
+    Whole texts are long: large batches of them take hundreds of MB a task, in the JVM and in Python.
+    No result depends on it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) of a corpus: a null text is empty, rows without an id are left out.
 
     Rows that share an id are one document with the smallest of their texts; other columns, whatever
     their names, are not looked at.
     """
+    small_batches(docs.sparkSession)
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     out = out.where(F.col("id").isNotNull())
     ids = docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null")

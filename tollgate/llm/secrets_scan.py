@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import texts
+from .frames import small_batches, texts
 
 KINDS = ("assign", "access", "hex", "novel")
 
@@ -152,6 +152,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for raw in batches:
             yield pd.Series([redact_text(size, x) for x in raw], dtype=object)
 
+    small_batches(docs.sparkSession)
     out = docs.withColumn(text_col, run(F.col(text_col).cast("binary")))
     if "n_chars" in docs.columns:
         n = F.when(F.col("n_chars").isNotNull(), F.length(text_col)).cast(docs.schema["n_chars"].dataType)

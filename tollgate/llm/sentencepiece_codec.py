@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers
 
+from .frames import small_batches
+
 MARK = "▁"
 
 # Numbers of messages, fields and piece kinds of the format.
@@ -197,6 +199,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
                 cols = [b.column(0), kept, n, pa.array(digest, pa.string()), pa.array(parity, pa.bool_()), pa.array(trip, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in OUT.split(", ")])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, OUT)
 
 
