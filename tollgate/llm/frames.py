@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,21 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
         spark.conf.set(key, rows)
 
 
+def released(run: Callable) -> Callable:
+    """``run``, which after its last batch gives the memory that it used back to the system.
+
+    Spark keeps Python workers for later tasks; what a task has freed would otherwise stay with them.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) of a corpus: a null text is empty, rows without an id are left out.
 

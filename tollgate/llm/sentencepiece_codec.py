@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers
 
-from .frames import small_batches
+from .frames import released, small_batches
 
 MARK = "▁"
 
@@ -120,7 +120,7 @@ class Codec:
     is among the last ``words`` different ones.  Ids are little-endian 32-bit integers.
     """
 
-    def __init__(self, raw: bytes, threads: int, words: int = 400_000):
+    def __init__(self, raw: bytes, threads: int, words: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         self.model = parse(raw)
@@ -200,7 +200,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in OUT.split(", ")])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, OUT)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(released(run), OUT)
 
 
 def decode(encoded: DataFrame, model_file: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import components, saved, texts
+from .frames import components, released, saved, texts
 
 LANES = np.uint64(0x0101010101010101)
 
@@ -53,7 +53,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
-    return texts(docs, id_col, text_col).select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, fp long")
+    return texts(docs, id_col, text_col).select("id", F.col("text").cast("binary").alias("text")).mapInArrow(released(run), "id long, fp long")
 
 
 def _parity_columns() -> np.ndarray:
@@ -163,14 +163,14 @@ def links(distinct: DataFrame, most: int = 3, block: int = 20_000) -> DataFrame:
     """
     if most > 3:
         raise ValueError("the anchors cover at most three differing bits")
-    rows = distinct.select("fp", "rep").mapInArrow(_replicate, "key long, fp long, rep long, home boolean")
+    rows = distinct.select("fp", "rep").mapInArrow(released(_replicate), "key long, fp long, rep long, home boolean")
     hot = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
     hot = hot.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     dealt = rows.join(hot, "key", "left").withColumn("mine", F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("other")
     pair = F.least("mine", "other").cast("long") * F.lit(1 << 31) + F.greatest("mine", "other")
     dealt = dealt.select("key", "fp", "rep", "home", "mine", other).select("key", pair.alias("sub"), "fp", "rep", "home")
-    return dealt.repartition("key", "sub").sortWithinPartitions("key", "sub", "fp").mapInArrow(_compare(most), "a long, b long").distinct()
+    return dealt.repartition("key", "sub").sortWithinPartitions("key", "sub", "fp").mapInArrow(released(_compare(most)), "a long, b long").distinct()
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3) -> DataFrame:
