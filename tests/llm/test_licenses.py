@@ -58,6 +58,16 @@ def test_labels_of_plain_cases(docs):
     assert got[8] == ""
 
 
+APART = ["CC (BY)", "cc - by 4.0", "see cc,\nby", "in the public\r\n  domain", "(public) -- (domain)", "all -- rights, reserved", "General \t Public: License"]
+
+
+def test_several_separators_inside_a_phrase(docs):
+    cols = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_detections")
+    got = {r["id"]: tuple(r[c] for c in cols) for r in licenses.scan(docs(list(enumerate(APART)))).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(APART)}
+    assert [got[i][1] for i in range(3)] == [1, 1, 1] and all(x[5] for x in got.values())
+
+
 def test_no_rule_lacks_its_stem():
     rules = licenses.rules()
     assert len(rules) > 300

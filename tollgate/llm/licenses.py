@@ -107,10 +107,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     table = rule_table(spark)
     keywords = sorted({r[3] for r in rules()} | set(PHRASES))
     blank = texts(docs, id_col, text_col).select("id", plain(F.col("text")).alias("t")).select("id", F.trim("t").alias("t"))
-    gate = reduce(or_, [F.contains("t", F.lit(stem)) for stem in STEMS])
     single = F.concat(F.lit(" "), F.regexp_replace("t", " +", " "), F.lit(" "))
     n_words = F.when(F.col("t") == "", 0).otherwise(F.size(F.split("t", " +"))).cast("long")
-    found = blank.select("id", n_words.alias("n_words"), F.when(gate, single).alias("norm"))
+    gate = reduce(or_, [F.contains("norm", F.lit(stem)) for stem in STEMS])  # stems of two words need single blanks
+    found = blank.select("id", n_words.alias("n_words"), single.alias("norm"))
+    found = found.select("id", "n_words", F.when(gate, F.col("norm")).alias("norm"))
     # the empty keyword has no rule: its row stands for the document itself
     has = F.array_compact(F.array(F.lit(""), *[F.when(F.contains("norm", F.lit(k)), F.lit(k)) for k in keywords]))
     found = found.select("id", "n_words", "norm", F.explode(has).alias("keyword")).join(F.broadcast(table), "keyword", "left")
