@@ -60,6 +60,20 @@ def test_novel_strings_need_context_and_noise(docs):
     assert got[7] == ["novel"] and got[8] == [] and got[9] == []
 
 
+ENV = ["AWS_SECRET_ACCESS_KEY", "DB_PWD", "private_key", "export SESSION_SALT", "x=1\nSIGNATURE"]
+
+
+def test_unspaced_assignments_are_parted_at_their_names(docs):
+    said = [*(f"{name}={KEY}{pad}" for name in ENV for pad in ("", "==")), f"the token DB_HOST={KEY}", f"NAME={KEY}", "PRIVATE_PATH=get_user_session_configuration_table", f"the token {KEY[:18]}={KEY[14:]}"]
+    got = {r["id"]: [(s["kind"], said[r["id"]][s["start"] : s["end"]]) for s in r["spans"]] for r in secrets_scan.find_secrets(docs(list(enumerate(said)))).collect()}
+    for i in range(10):
+        assert got[i] == [("novel", KEY + ("", "==")[i % 2])], said[i]
+    assert got[10] == [("novel", KEY)] and got[11] == got[12] == []
+    assert got[13] == [("novel", said[13].removeprefix("the token "))]
+    redacted = secrets_scan.redact(docs([(0, f"DB_PWD={KEY}\nPORT=1")])).first()["text"]
+    assert redacted == "DB_PWD=[secret]\nPORT=1"
+
+
 def test_novelty_is_the_growth_of_the_compressed_text():
     size = secrets_scan.compressor()
     both, one = (len(size.compress(x)) for x in (b"a b " + KEY.encode(), b"a b"))

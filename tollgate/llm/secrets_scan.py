@@ -1,6 +1,7 @@
 """Secret scan: fixed patterns, and zstandard novelty of strings in sensitive context.
 
-A candidate is a long token outside the pattern matches with a sensitive word shortly before it.  Its novelty is what it adds
+A candidate is a long token outside the pattern matches with a sensitive word shortly before it; in ``NAME=value`` it is the
+value, and the name is text before it.  Its novelty is what it adds
 to the compressed size of the text around it, in bytes per byte, under a compressor primed with code
 identifiers: words and identifiers add little, random strings nearly their own entropy.
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
-from itertools import product
+from itertools import product, takewhile
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,8 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: What '=' parts in a token; only padding at its end stays with the part before.
+PART = re.compile(r"[A-Za-z0-9+/_-]+(?:=+(?![A-Za-z0-9+/_=-]))?")
 SENSITIVE = re.compile(r"(?i:auth|bearer|credential|private|pass|pwd|signature|access|session|cookie|key|token|secret|salt|cert|login)", re.ASCII)
 #: Tokens that follow a sensitive word within so many characters are candidates.
 REACH = 48
@@ -95,14 +98,20 @@ def scan_text(size: zstandard.ZstdCompressor, raw: bytes | None) -> list[tuple[s
             found += [(kind, *m.span(), None) for m in pattern.finditer(text) if m.end() - m.start() >= LEAST[kind]]
         base = sorted((s, e) for _, s, e, _ in found)
         for m in TOKEN.finditer(text):
-            s, e = m.span()
-            while base and base[0][1] <= s:
+            while base and base[0][1] <= m.start():
                 base.pop(0)
-            if (base and base[0][0] < e) or not SENSITIVE.search(text, max(0, s - REACH), s):
-                continue
-            new = novelty(size, m[0], text[max(0, s - AROUND) : s], text[e : e + AROUND])
-            if new >= NOVEL:
-                found.append(("novel", s, e, round(new, 4)))
+            own = list(takewhile(lambda x, m=m: x[0] < m.end(), base))
+            parts = [p.span() for p in PART.finditer(text, *m.span()) if p.end() - p.start() >= 20]
+            novel = []
+            for s, e in [*parts, m.span()]:
+                if (s, e) == m.span() and novel:  # the whole token counts if none of its parts does
+                    break
+                if any(x < e and y > s for x, y in own) or not SENSITIVE.search(text, max(0, s - REACH), s):
+                    continue
+                new = novelty(size, text[s:e], text[max(0, s - AROUND) : s], text[e : e + AROUND])
+                if new >= NOVEL:
+                    novel.append(("novel", s, e, round(new, 4)))
+            found += novel
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
