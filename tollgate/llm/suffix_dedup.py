@@ -1,12 +1,10 @@
-"""Byte-exact removal of repeated substrings by distributed prefix doubling.
-
-Positions are ranked by the bytes that follow them, at growing lengths, and leave as soon as they are
-unique or past the threshold.  A rank is a 64-bit name of the bytes rather than a number in sorted
-order: equality is all that counts here.  The first ranking looks only at synchronising positions (see
-``repeats``), one for each run of windows: a window whose anchor's rank is unique is unique.  The next
-ranks the anchor with all that its windows cover, which settles whole copied stretches.  What is still
-open are single windows at the ends of copies; they are sorted by the pair (rank of the first half, rank
-at the offset of half a window), the last doubling, and all but the first of equals are marked.
+"""Byte-exact removal of repeated substrings by fingerprints at synchronising positions.
+
+This is not prefix doubling: there are no growing offsets, no rounds of reranking and no ranks.  Each run
+of windows has an anchor (see ``repeats``); a window whose anchor's fingerprint is unique is unique.  Anchors
+with all that their windows cover are compared next, which settles whole copied stretches.  What is still
+open are single windows at the ends of copies; they are sorted once by the fingerprints of their two halves,
+and all but the first of equals are marked.
 """
 
 from __future__ import annotations
