@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automaton_dedup, decontaminate, kneser_ney, lattice, licenses, secrets_scan, sentencepiece_codec, simhash, suffix_dedup, tree_search
-from .frames import table
+from . import (
+    automaton_dedup,
+    decontaminate,
+    importance,
+    kneser_ney,
+    lattice,
+    licenses,
+    periodic_runs,
+    secrets_scan,
+    sentencepiece_codec,
+    simhash,
+    suffix_dedup,
+    tree_search,
+)
+from .frames import table, texts
 
 
 #: The tokenizer model that the registered query and the pipeline use.
@@ -75,6 +88,47 @@ def op10_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
+def periodic_tails(docs: DataFrame) -> DataFrame:
+    """(id, text): a tenth of the documents, by CRC-32 of the id, repeat their words from some place on."""
+    blank = r"[^\x20\x09-\x0D]+"
+    h = F.crc32(F.col("id").cast("string").cast("binary"))
+    own = texts(docs).withColumn("h", h).withColumn("words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(blank), F.lit(0))))
+    own = own.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10"))
+    own = own.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    own = own.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    place = F.transform(
+        F.sequence(F.lit(0), (F.col("n") - 1).cast("int")),
+        lambda i: F.get("words", F.when(i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i).cast("int")),
+    )
+    return own.select("id", F.when(F.col("n") > 0, F.array_join(place, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.find_runs(periodic_tails(table(spark, sf_dir, "documents")), "id", keep=False)
+    longest = F.reduce(
+        "runs",
+        F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>"),
+        lambda best, x: F.when(best.isNull() | (x["length"] > best["length"]), x).otherwise(best),  # runs come by start, then period
+    )
+    line = F.transform("runs", lambda x: F.concat(x["start"], F.lit(","), x["length"], F.lit(","), x["period"], F.lit("\n")))
+    out = out.select("*", longest.alias("best"))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.withColumnRenamed("id", "doc_id").select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
@@ -86,6 +140,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_substrings": op9_substrings,
     "op10_tree_search": op10_tree_search,
+    "op11_runs": op11_runs,
+    "op13_importance": op13_importance,
 }
 
 #: DuckDB SQL for the queries that it can express.  The others rest on models, hashes, compression or an
