@@ -13,6 +13,7 @@ from . import (
     lattice,
     licenses,
     periodic_runs,
+    personal_data,
     secrets_scan,
     sentencepiece_codec,
     simhash,
@@ -124,6 +125,16 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        *[secrets_scan.n_of(spans, k).alias(f"n_{k}") for k in personal_data.BASE_KINDS],
+        F.sha2(secrets_scan.span_list(spans, personal_data.BASE_KINDS), 256).alias("base_sha256"),
+        secrets_scan.span_list(spans, personal_data.KINDS).alias("spans"),
+    )
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.withColumnRenamed("id", "doc_id").select("doc_id", "n_features", "weight", "score", "rank")
@@ -141,6 +152,7 @@ QUERIES = {
     "op9_substrings": op9_substrings,
     "op10_tree_search": op10_tree_search,
     "op11_runs": op11_runs,
+    "op12_personal_data": op12_personal_data,
     "op13_importance": op13_importance,
 }
 
