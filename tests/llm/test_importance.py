@@ -63,10 +63,11 @@ def test_query_equals_brute_force(spark, sf_dir, rows):
 
 
 def test_matches_overlap_and_end_at_words():
-    n, found = importance.buckets_of("Ab, c--D  é".encode(), importance.scanners(3), 10_000)
+    n, found = importance.buckets_of("Ab, c--D  é".encode(), importance.scanner(3), 10_000)
     assert n == 4
     assert found.tolist() == [bucket(x) for x in ["ab", "c", "d", "é", "ab c", "c d", "d é", "ab c d", "c d é"]]
-    assert importance.buckets_of(b" -- ", importance.scanners(3), 10_000)[1].tolist() == []
+    assert importance.buckets_of(b" -- ", importance.scanner(3), 10_000)[1].tolist() == []
+    assert importance.buckets_of(b"A b", importance.scanner(3), 10_000)[1].tolist() == [bucket(x) for x in ["a", "b", "a b"]]
 
 
 def test_ranks_over_many_partitions_are_the_whole_order(spark):

@@ -134,7 +134,7 @@ def test_only_stretches_around_anchors_are_cut_out_and_blocks_change_nothing(fie
     assert [x[:3] for x in personal_data.scan_text(field, text.encode())] == [x[:3] for x in spans] and len(spans) > 20
 
 
-@pytest.mark.parametrize("text", ["x" * 400_000 + "@", "1" * 200_000, "a@" * 3_000, "+1" * 5_000, "1." * 3_000, "+1" + " " * 200_000, "12 " * 3_000])
+@pytest.mark.parametrize("text", ["x" * 400_000 + "@", "1" * 200_000, "a@" * 3_000, "+1" * 5_000, "1.." * 2_000, "+1" + " " * 200_000, "12 " * 3_000])
 def test_long_texts_take_time_near_their_length(field, text):
     t = time.perf_counter()
     assert [f"{k}:{s}:{e}" for k, s, e, _ in personal_data.scan_text(field, text.encode()) if k in personal_data.BASE_KINDS] == []

@@ -1,8 +1,9 @@
 """Importance resampling towards a target distribution, on hashed n-grams.
 
-A text is folded to its words with single spaces between; regular expressions with lookarounds at the word
-boundaries then scan it with overlapping matches, one for each length of n-gram, and every match is
-counted under its CRC-32 modulo the number of buckets.  A bucket's gain is the log ratio of its
+A text is folded to its words with single spaces between; a regular expression with lookarounds at the word
+boundaries then scan it with overlapping matches: at each word's start the match is the word, and a look
+ahead takes in the words after it, so the spans of all n-grams that start there come at once.  Each n-gram is
+counted under its CRC-32, carried on from the shorter one's, modulo the number of buckets.  A bucket's gain is the log ratio of its
 smoothed shares in the target and in the corpus; a document's weight is the sum over its features, and
 the draw takes the highest weights with Gumbel noise, which samples without replacement by importance.
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from operator import itemgetter
+from operator import methodcaller
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +32,22 @@ LONGEST, BUCKETS, LEAST_WORDS, PERCENT, SEED = 3, 10_000, 20, 5, 42
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def scanners(longest: int) -> list[regex.Pattern]:
-    """For each length the pattern of that many words, from one word boundary to another."""
-    return [regex.compile(rb"(?<![^ ])[^ ]++(?: [^ ]++){%d}(?![^ ])" % k) for k in range(longest)]
+def scanner(longest: int) -> regex.Pattern:
+    """A word between boundaries, and as look-ahead groups each of the ``longest`` - 1 words after it with its blank."""
+    return regex.compile(rb"(?<![^ ])([^ ]++)(?=%s)(?![^ ])" % (rb"( [^ ]++)?+" * (longest - 1)))
 
 
-def buckets_of(raw: bytes, patterns: list[regex.Pattern], buckets: int) -> tuple[int, np.ndarray]:
-    """The number of words, and the bucket of every n-gram, repeats included."""
+def buckets_of(raw: bytes, pattern: regex.Pattern, buckets: int) -> tuple[int, np.ndarray]:
+    """The number of words, and the bucket of every n-gram, repeats included, by length and then place."""
     single = b" ".join(raw.translate(FOLD).split())
-    found = [np.fromiter(map(zlib.crc32, map(itemgetter(0), p.finditer(single, overlapped=True))), np.uint32) for p in patterns]
-    return len(found[0]), (np.concatenate(found) % np.uint32(buckets)).astype("<u2")
+    spans = list(zip(*map(methodcaller("groups"), pattern.finditer(single, overlapped=True)), strict=True))
+    if not spans:
+        return 0, np.empty(0, "<u2")
+    n, sums, found = len(spans[0]), None, []
+    for k, words in enumerate(spans[:n]):  # the last k words have no k words after them
+        sums = list(map(zlib.crc32, words[: n - k], sums)) if k else list(map(zlib.crc32, words))
+        found += sums
+    return n, (np.array(found, np.uint32) % np.uint32(buckets)).astype("<u2")
 
 
 def features(rows: DataFrame, longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
@@ -49,9 +56,9 @@ def features(rows: DataFrame, longest: int = LONGEST, buckets: int = BUCKETS) ->
         raise ValueError("buckets are numbered in 16 bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = scanners(longest)
+        pattern = scanner(longest)
         for b in batches:
-            found = [buckets_of(x or b"", patterns, buckets) for x in b.column(1).to_pylist()]
+            found = [buckets_of(x or b"", pattern, buckets) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([x.tobytes() for _, x in found], pa.binary())],
                 ["id", "n_words", "buckets"],
