@@ -11,14 +11,14 @@ ORACLE: dict[str, str] = {}
 def _parsed() -> str:
     return (
         duckdb_cte("raw_responses")
-        + ", _p AS (SELECT response_id, body, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS pj FROM raw_responses)"
+        + ", _p AS MATERIALIZED (SELECT response_id, body, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS pj FROM raw_responses)"
     )
 
 
 def _users() -> str:
     return (
         _parsed()
-        + f", _users AS (SELECT response_id, {D.get('pj', 'results', 0)} AS u FROM _p WHERE {D.envelope_errors('body', 'pj')} IS NULL)"
+        + f", _users AS MATERIALIZED (SELECT response_id, {D.get('pj', 'results', 0)} AS u FROM _p WHERE {D.envelope_errors('body', 'pj')} IS NULL)"
     )
 
 
@@ -30,11 +30,11 @@ def _routed(normalize_first: bool = False) -> str:
     c2 = D.column_user_errors()
     return (
         _parsed()
-        + f", _e AS (SELECT response_id, body, {D.envelope_errors('body', 'pj')} AS env, {D.get('pj', 'results', 0)} AS u FROM _p)"
-        + f", _c1 AS (SELECT *, CASE WHEN env IS NULL THEN {D.api_errors('u')} END AS c1 FROM _e)"
-        + f", _f AS (SELECT *, {flat_sql} FROM _c1)"
-        + f", _c2 AS (SELECT *, CASE WHEN env IS NULL AND len(c1) = 0 THEN {c2} END AS c2 FROM _f)"
-        + ", routed AS (SELECT *, CASE WHEN env IS NOT NULL THEN 'envelope' WHEN len(c1) > 0 THEN 'contract' "
+        + f", _e AS MATERIALIZED (SELECT response_id, body, {D.envelope_errors('body', 'pj')} AS env, {D.get('pj', 'results', 0)} AS u FROM _p)"
+        + f", _c1 AS MATERIALIZED (SELECT *, CASE WHEN env IS NULL THEN {D.api_errors('u')} END AS c1 FROM _e)"
+        + f", _f AS MATERIALIZED (SELECT *, {flat_sql} FROM _c1)"
+        + f", _c2 AS MATERIALIZED (SELECT *, CASE WHEN env IS NULL AND len(c1) = 0 THEN {c2} END AS c2 FROM _f)"
+        + ", routed AS MATERIALIZED (SELECT *, CASE WHEN env IS NOT NULL THEN 'envelope' WHEN len(c1) > 0 THEN 'contract' "
         "WHEN len(c2) > 0 THEN 'transform' ELSE 'accepted' END AS stage, "
         "CASE WHEN env IS NOT NULL THEN [env] WHEN len(c1) > 0 THEN c1 WHEN len(c2) > 0 THEN c2 "
         "ELSE CAST([] AS VARCHAR[]) END AS errors FROM _c2)\n"
