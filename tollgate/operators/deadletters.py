@@ -24,17 +24,21 @@ def to_dead_letters(routed: DataFrame, now: str, source_topic: str = DEFAULT_TOP
     replay has put into the body (R10), else 0.
     """
     stage = F.col("stage")
-    msg = F.when(stage == "transform", F.array_join("errors", "; ")).otherwise(py_list_repr(F.col("errors")))
     return routed.where(stage != "accepted").select(
         F.col(body_col).alias("original_message"),
         stage_error_type(stage).alias("error_type"),
-        F.concat(F.lit("Validation failed: "), msg).alias("error_message"),
+        F.concat(F.lit("Validation failed: "), rejection_text()).alias("error_message"),
         F.lit(now).alias("timestamp"),
         retries_so_far(F.col(body_col)).alias("retry_count"),
         F.lit(source_topic).alias("source_topic"),
     )
 
 
+def rejection_text() -> Column:
+    """The errors of a rejected row: joined by "; " for the transform stage, else their Python list text."""
+    return F.when(F.col("stage") == "transform", F.array_join("errors", "; ")).otherwise(py_list_repr(F.col("errors")))
+
+
 def retries_so_far(text: Column) -> Column:
     """How often a message was replayed: its body's ``_retry_count``, 0 if there is none."""
     return F.coalesce(F.get_json_object(text, "$._retry_count").try_cast("int"), F.lit(0))

@@ -108,18 +108,20 @@ def route_outcomes(routed: DataFrame) -> DataFrame:
 
 
 def classify_fetch(status: Column, body: Column, retry_after: Column | None = None,
-                   failure: Column | None = None, body_chars: int | None = None) -> list[Column]:
+                   failure: Column | None = None, body_chars: int | None = None,
+                   parsed: Column | None = None) -> list[Column]:
     """Outcome of one HTTP fetch.
 
     429 -> APIRateLimitError (keeps retry_after); >=500 -> APIConnectionError;
     >=400 -> APIError; body not JSON -> APIError; else ok.  A null status is a
     fetch without a response: ``failure`` names why ("timeout", "connection",
     anything else or nothing), the first two are transient.  The body is kept
-    on errors, to its first ``body_chars`` characters if given.
+    on errors, to its first ``body_chars`` characters if given.  ``parsed`` is the
+    body's parsed value where the caller has it.
     """
     none = status.isNull()
     why = F.lit(None).cast("string") if failure is None else failure
-    bad_json = V.parse_body(body).isNull()
+    bad_json = (V.parse_body(body) if parsed is None else parsed).isNull()
     error_type = (
         F.when(none & (why == "timeout"), F.lit("APITimeoutError"))
         .when(none & (why == "connection"), F.lit("APIConnectionError"))

@@ -20,9 +20,11 @@ from tollgate.operators import contracts as C
 from tollgate.operators import route as R
 from tollgate.operators.users import flatten_user, unwrap_response
 from tollgate.operators import deadletters as D
+from tollgate.operators.fetches import RETRY_SCHEMA, RetryPolicy
 from tollgate.operators import telemetry as TM
 from tollgate.plans import fixtures as FX
 from tollgate.session import fresh_dir
+from tollgate.sources import due_queue as Q
 from tollgate.sources import messages as M
 from tollgate.sources import sinks as S
 from tollgate.streaming import pipeline as ST
@@ -576,6 +578,66 @@ def ingest_to_table(spark, sf_dir):
     return S.current_users(spark, paths.table)
 
 
+# When the queries' retry rounds run; the landed fetches are spread over the two hours before the second.
+ROUNDS = ("2024-01-31 01:00:00", "2024-01-31 02:10:00", "2024-01-31 02:10:04", "2024-01-31 02:10:30")
+
+
+def _landed_fetches(spark, sf_dir) -> DataFrame:
+    """A3's rows with every kind of outcome: responses, broken bodies, error statuses and no response."""
+    return FX.raw_responses(spark, sf_dir).select(*[F.expr(e.format(ntz="TIMESTAMP_NTZ")).alias(n) for n, e in FX.LANDED_FETCH.items()])
+
+
+def _fetch_again(spark, sf_dir, now: str):
+    """A stand-in for the client: the next answer follows from id and attempt."""
+    bodies = FX.raw_responses(spark, sf_dir)
+
+    def fetch(due: DataFrame) -> DataFrame:
+        return due.join(bodies, due["fetch_id"] == bodies["response_id"]).select(
+            *[F.expr(e.format(ntz="TIMESTAMP_NTZ")).alias(n) for n, e in FX.fetched_again(now).items()]
+        )
+
+    return fetch
+
+
+def _ingest_fetches(spark, sf_dir, rounds: int = 0) -> ST.StreamPaths:
+    landed = fresh_dir(spark, "landed")
+    _landed_fetches(spark, sf_dir).write.options(**M.LANDED_JSON_OPTIONS).json(landed)
+    paths = ST.StreamPaths(*[fresh_dir(spark, n) for n in ("topic", "dlq", "ckpt", "batch_log", "retries")])
+    policy, claims = RetryPolicy(), fresh_dir(spark, "claims")
+    ST.run_ingest_stream(spark, landed, paths, RUN_NOW, policy=policy)
+    for k, now in enumerate(ROUNDS[:rounds]):
+        ST.run_retry_round(spark, paths, claims, k, now, _fetch_again(spark, sf_dir, now), policy)
+    return paths
+
+
+def _sink_counts(spark, paths: ST.StreamPaths) -> DataFrame:
+    accepted = spark.read.parquet(paths.table).select(F.lit("accepted").alias("sink"), F.lit(None).cast("string").alias("error_type"), F.lit(0).alias("attempt"))
+    letters = M.read_dead_letters(spark.read.parquet(paths.dead_letters))
+    letters = letters.select(F.lit("dead_letter").alias("sink"), "error_type", F.col("retry_count").cast("int").alias("attempt"))
+    again = Q.queued(spark, paths.retries, RETRY_SCHEMA).select(F.lit("retry").alias("sink"), "error_type", "attempt")
+    return accepted.unionByName(letters).unionByName(again).groupBy("sink", "error_type", "attempt").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def ingest_fetches(spark, sf_dir):
+    """F4 on A3 with C8: landed fetches streamed into three sinks, counted there."""
+    return _sink_counts(spark, _ingest_fetches(spark, sf_dir))
+
+
+@query
+def retry_rounds(spark, sf_dir):
+    """Transient fetches come back in four rounds, until they succeed or have used up their tries."""
+    return _sink_counts(spark, _ingest_fetches(spark, sf_dir, len(ROUNDS)))
+
+
+@query
+def retry_queue(spark, sf_dir):
+    """Every row that the stream and four rounds of retries have put into the queue."""
+    paths = _ingest_fetches(spark, sf_dir, len(ROUNDS))
+    due = F.date_format("due", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("due")
+    return Q.queued(spark, paths.retries, RETRY_SCHEMA).select("fetch_id", "attempt", "error_type", "status", due)
+
+
 def _dlq_stream(spark, sf_dir) -> str:
     src_path = _stage_files(spark, FX.dead_letters(spark, sf_dir), "topic_dlq")
     out, ckpt = fresh_dir(spark, "dlq_stats"), fresh_dir(spark, "ckpt")

@@ -220,6 +220,37 @@ FETCH_LOG = Fixture(
     ),
 )
 
+# ---------------------------------------------------------------------------
+# 3.5b landed fetches of the raw responses, and what a second try gives (texts shared by Spark and DuckDB)
+# ---------------------------------------------------------------------------
+_FETCH_STATUS = (
+    "CAST(CASE WHEN response_id % 12 = 0 THEN 429 WHEN response_id % 12 = 1 THEN 500 WHEN response_id % 12 = 2 THEN 503 "
+    "WHEN response_id % 12 IN (3, 4, 5) THEN NULL WHEN response_id % 12 = 6 THEN 404 ELSE 200 END AS INT)"
+)
+LANDED_FETCH = {
+    "fetch_id": "CAST(response_id AS BIGINT)",
+    "ts": "CAST('2024-01-31 00:00:00' AS {ntz}) + response_id % 7200 * INTERVAL '1' SECOND",
+    "status": _FETCH_STATUS,
+    "failure": "CASE response_id % 12 WHEN 3 THEN 'timeout' WHEN 4 THEN 'connection' END",
+    "retry_after": "CAST(CASE WHEN response_id % 24 = 0 THEN 60 END AS INT)",
+    "body": "CASE WHEN response_id % 12 IN (3, 4, 5) THEN NULL WHEN response_id % 13 = 0 THEN substr(body, 1, 5) ELSE body END",
+    "attempt": "CAST(0 AS INT)",
+}
+
+
+def fetched_again(now: str) -> dict[str, str]:
+    """The answer to a later try, over (fetch_id, attempt, body)."""
+    return {
+        "fetch_id": "fetch_id",
+        "ts": f"CAST('{now}' AS {{ntz}})",
+        "status": "CAST(CASE WHEN (fetch_id + attempt) % 4 = 0 THEN 200 WHEN fetch_id % 7 = 0 THEN 429 ELSE 503 END AS INT)",
+        "failure": "CAST(NULL AS STRING)",
+        "retry_after": "CAST(CASE WHEN fetch_id % 7 = 0 THEN 5 END AS INT)",
+        "body": "body",
+        "attempt": "attempt",
+    }
+
+
 # ---------------------------------------------------------------------------
 # 3.6 text_cells: documents -> padded whole texts, nulls and blanks
 # ---------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tollgate.plans import duck as D
-from tollgate.plans.fixtures import duckdb_cte
+from tollgate.plans.fixtures import LANDED_FETCH, duckdb_cte, fetched_again
 
 ORACLE: dict[str, str] = {}
 
@@ -237,6 +237,52 @@ def _classified() -> str:
     )
 
 
+ROUNDS = ("2024-01-31 01:00:00", "2024-01-31 02:10:00", "2024-01-31 02:10:04", "2024-01-31 02:10:30")
+
+
+def _fetch_rounds(rounds: int) -> str:
+    """``tries``: every try of every fetch with its sink; rows that are due again name the round that takes them."""
+    bad = "NOT json_valid(body)"
+    error = (
+        "CASE WHEN status IS NULL THEN (CASE failure WHEN 'timeout' THEN 'APITimeoutError' WHEN 'connection' THEN 'APIConnectionError' "
+        "ELSE 'APIError' END) WHEN status = 429 THEN 'APIRateLimitError' WHEN status >= 500 THEN 'APIConnectionError' "
+        f"WHEN status >= 400 THEN 'APIError' WHEN {bad} THEN 'APIError' END"
+    )
+
+    def sinks(k: int) -> str:
+        again = f"{_in('error_type', TRANSIENT)} AND attempt < 3"
+        wait = "greatest(least(pow(2.0, attempt), 30.0), CASE WHEN status = 429 THEN coalesce(retry_after, 0) ELSE 0 END)"
+        taken = " ".join(f"WHEN due <= TIMESTAMP '{t}' THEN {n}" for n, t in enumerate(ROUNDS[:rounds], 1) if n > k)
+        return (
+            f", _e{k} AS (SELECT *, {error} AS error_type FROM _l{k})"
+            f", _s{k} AS (SELECT *, CASE WHEN {again} THEN 'retry' WHEN error_type IS NOT NULL THEN 'dead_letter' END AS failed, "
+            f"CASE WHEN {again} THEN ts + to_microseconds(CAST({wait} * 1000000 AS BIGINT)) END AS due FROM _e{k})"
+            f", _t{k} AS MATERIALIZED (SELECT *, {f'CASE {taken} END' if taken else 'NULL'} AS taken FROM _s{k})"
+        )
+
+    first = ", ".join(f"{e.format(ntz='TIMESTAMP')} AS {n}" for n, e in LANDED_FETCH.items())
+    out = _routed() + f", _l0 AS (SELECT {first} FROM raw_responses)" + sinks(0)
+    for k in range(1, rounds + 1):
+        before = " UNION ALL ".join(f"SELECT fetch_id, attempt FROM _t{j} WHERE taken = {k}" for j in range(k))
+        again = ", ".join(f"{e.format(ntz='TIMESTAMP')} AS {n}" for n, e in fetched_again(ROUNDS[k - 1]).items())
+        out += (
+            f", _d{k} AS (SELECT q.fetch_id, q.attempt + 1 AS attempt, r.body FROM ({before}) q JOIN raw_responses r ON r.response_id = q.fetch_id)"
+            f", _l{k} AS (SELECT {again} FROM _d{k})" + sinks(k)
+        )
+    every = " UNION ALL ".join(f"SELECT fetch_id, attempt, status, error_type, failed, due FROM _t{k}" for k in range(rounds + 1))
+    return out + (
+        f", _every AS ({every}), tries AS (SELECT t.*, r.stage, coalesce(t.failed, CASE r.stage WHEN 'accepted' THEN 'accepted' "
+        "ELSE 'dead_letter' END) AS sink FROM _every t JOIN routed r ON r.response_id = t.fetch_id)\n"
+    )
+
+
+_SINK_COUNTS = (
+    "SELECT sink, CASE WHEN sink = 'accepted' THEN NULL WHEN error_type IS NOT NULL THEN error_type WHEN stage = 'transform' "
+    "THEN 'TransformationError' ELSE 'DataValidationError' END AS error_type, "
+    "CASE WHEN error_type IS NULL THEN 0 ELSE attempt END AS attempt, count(*) AS n FROM tries GROUP BY ALL"
+)
+
+
 def _f(x: float) -> str:
     return f"CAST({repr(float(x))} AS DOUBLE)"
 
@@ -278,6 +324,11 @@ ORACLE["stream_route"] = _routed() + (
     "SELECT CASE stage WHEN 'accepted' THEN 'accepted' WHEN 'transform' THEN 'TransformationError' "
     "ELSE 'DataValidationError' END AS outcome, count(*) AS n FROM routed GROUP BY ALL"
 )
+ORACLE["ingest_fetches"] = _fetch_rounds(0) + _SINK_COUNTS
+ORACLE["retry_rounds"] = _fetch_rounds(len(ROUNDS)) + _SINK_COUNTS
+ORACLE["retry_queue"] = _fetch_rounds(len(ROUNDS)) + (
+    "SELECT fetch_id, attempt, error_type, status, strftime(due, '%Y-%m-%d %H:%M:%S.%f') AS due FROM tries WHERE sink = 'retry'"
+)
 ORACLE["stream_read_messages"] = duckdb_cte("user_messages") + (
     "SELECT \"partition\", \"offset\", value_text AS value FROM user_messages"
 )

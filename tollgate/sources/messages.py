@@ -114,9 +114,14 @@ def first_rows(df: DataFrame, n: int | None) -> DataFrame:
 LANDED_JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def read_landed_responses(spark: SparkSession, path: str, format: str = "json", stream: bool = False) -> DataFrame:
-    """A3: raw HTTP responses already landed as rows (status, retry_after, body)."""
+def read_landed_responses(spark: SparkSession, path: str, format: str = "json", stream: bool = False,
+                          max_files: int | None = None) -> DataFrame:
+    """A3: raw HTTP responses already landed as rows (status, retry_after, body).
+
+    ``max_files`` bounds what a stream takes in at once."""
     r = spark.readStream if stream else spark.read
+    if stream and max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
     if format == "json":
         r = r.options(**LANDED_JSON_OPTIONS)
     return r.format(format).schema(LANDED_SCHEMA).load(path)

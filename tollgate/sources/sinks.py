@@ -16,6 +16,8 @@ from tollgate.functions.jsonout import message_json
 from tollgate.operators.contracts import USER_COLUMNS
 
 ORDER_COLS = ("_ts", "_partition", "_offset")
+# Bits of a file topic's offset: batch, task in the batch, row of the task.
+BATCH_BITS, TASK_BITS, ROW_BITS = 23, 15, 25
 
 
 def publish_messages(df: DataFrame, topic: str, key: str | Column | None = None,
@@ -41,17 +43,24 @@ def topic_rows(published: DataFrame, batch_id: int, offset: str | None = None, n
     """A published frame with the columns of Spark's Kafka source, for topics kept as files.
 
     Rows of one key share a partition.  ``offset`` names a column that orders the
-    rows; otherwise offsets rise with the batch and then with the row's place.
+    rows; otherwise offsets rise with the batch, the task and the row's place in it, so that
+    (partition, offset) is unique; more batches, tasks or rows than the offset has bits for raise.
     ``timestamp`` is ``now`` (ISO text) or the time of the write.
     """
     place = F.monotonically_increasing_id()
-    partition = F.when(F.col("key").isNull(), F.shiftright(place, 33)).otherwise(F.pmod(F.xxhash64("key"), F.lit(partitions)))
+    task, row = F.shiftright(place, 33), place.bitwiseAND((1 << 33) - 1)
+    partition = F.when(F.col("key").isNull(), task).otherwise(F.pmod(F.xxhash64("key"), F.lit(partitions)))
+    if not 0 <= int(batch_id) < 1 << BATCH_BITS:
+        raise ValueError(f"batch ids have {BATCH_BITS} bits")
+    own = F.lit(int(batch_id) << (TASK_BITS + ROW_BITS)) + F.shiftleft(task, ROW_BITS) + row
+    fits = (task < 1 << TASK_BITS) & (row < 1 << ROW_BITS)
+    own = F.when(fits, own).otherwise(F.raise_error(F.lit("too many tasks or rows in a batch")).cast("long"))
     return published.select(
         "key",
         "value",
         "topic",
         partition.cast("int").alias("partition"),
-        (F.col(offset) if offset else F.lit(int(batch_id) << 40) + place % F.lit(1 << 33)).cast("long").alias("offset"),
+        (F.col(offset) if offset else own).cast("long").alias("offset"),
         (F.to_timestamp(F.lit(now)) if now else F.current_timestamp()).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

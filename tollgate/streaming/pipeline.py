@@ -2,8 +2,9 @@
 
 * ``run_user_stream``: topic -> decode -> per micro-batch: malformed rows to
   dead letters, the rest upserted into the change-log table (F1, F3).
-* ``run_ingest_stream``: landed responses -> route -> accepted users published
-  to the user topic, rejected rows to the dead-letter topic (F4).
+* ``run_ingest_stream``: landed responses or fetches -> route -> accepted users published
+  to the user topic, rejected rows to the dead-letter topic, transient failures to the retry queue (F4).
+* ``run_retry_round``: fetches that are due again, routed like fresh ones (B13).
 * ``run_dlq_stats_stream``: dead letters -> statistics kept current (F5).
 
 Topics are Kafka topics or folders of Kafka-shaped rows, so F1 reads what F4
@@ -17,6 +18,7 @@ duplicates (at-least-once delivery, idempotent result).
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Callable
@@ -26,7 +28,9 @@ from pyspark.sql import functions as F
 
 from tollgate.operators import deadletters as D
 from tollgate.operators.contracts import USER_COLUMNS
+from tollgate.operators.fetches import RETRY_SCHEMA, RetryPolicy, fetch_letters, fetch_retries, route_fetches
 from tollgate.operators.route import is_replayable, route
+from tollgate.sources import due_queue as Q
 from tollgate.sources import messages as M
 from tollgate.sources import sinks as S
 
@@ -41,6 +45,7 @@ class StreamPaths:
     dead_letters: str
     checkpoint: str
     batch_log: str | None = None  # E9 telemetry, one row per micro-batch
+    retries: str | None = None  # queue of fetches that are due again
 
 
 def _log_batch(spark: SparkSession, paths: StreamPaths, query: str, batch_id: int, rows: int, written: int, rejected: int, secs: float):
@@ -111,41 +116,89 @@ def run_ingest_stream(spark: SparkSession, landed_path: str, paths: StreamPaths,
                       fmt: str = "json", available_now: bool = True, processing_time: str | None = None,
                       timeout: float | None = None, on_batch: Callable[[DataFrame, int], None] | None = None,
                       max_files: int | None = None, topic: str = "user_data", topic_format: str = "parquet",
-                      normalize_first: bool = False):
+                      normalize_first: bool = False, policy: RetryPolicy | None = None):
     """landed responses -> route -> accepted users + dead letters.
 
     Accepted rows are published to the user topic (JSON keyed by id, in the
     order of the responses), rejected rows to the dead-letter topic, both from
     one persisted routed batch.  ``max_files`` bounds what one micro-batch takes
     in.  Dead letters carry ``now``, or the time of their batch.
+
+    The rows are bodies by ``response_id``.  With a ``policy`` they are A3's landed fetches
+    instead, failed ones among them (C8): transient failures go to the queue
+    ``paths.retries`` until their tries are used up, other failures to the dead letters.
     """
-    reader = spark.readStream.format(fmt).schema("response_id BIGINT, body STRING")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    if policy:
+        stream = M.read_landed_responses(spark, landed_path, fmt, stream=True, max_files=max_files)
+    else:
+        reader = spark.readStream.format(fmt).schema("response_id BIGINT, body STRING")
+        stream = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(landed_path)
 
     def write_batch(batch: DataFrame, batch_id: int):
         t0 = time.time()
-        at = now or _utc_now()
-        routed = route(batch, normalize_first=normalize_first).persist()
+        if policy:
+            routed = route_fetches(batch, policy, normalize_first).persist()
+        else:
+            routed = route(batch, normalize_first=normalize_first).withColumnRenamed("response_id", "fetch_id")
+            routed = routed.withColumn("sink", F.when(F.col("stage") == "accepted", "accepted").otherwise("dead_letter")).persist()
         try:
-            sent, gone = Observation(f"sent_{int(batch_id)}"), Observation(f"gone_{int(batch_id)}")
-            acc = routed.where(F.col("stage") == "accepted").select("response_id", "user.*").observe(sent, F.count(F.lit(1)).alias("n"))
-            published = S.publish_messages(acc, topic, "id", columns=USER_COLUMNS, keep=("response_id",))
-            S.write_messages(published, topic_format, paths.table, batch_id, offset="response_id", now=at)
-            letters = D.to_dead_letters(routed, at, topic).observe(gone, F.count(F.lit(1)).alias("n"))
-            S.write_dead_letters(letters, topic_format, paths.dead_letters, batch_id, now=at)
+            written, rejected, deferred = _write_routed(routed, paths, batch_id, now or _utc_now(), topic, topic_format, policy)
             if on_batch:
                 on_batch(routed, batch_id)
-            written, rejected = int(sent.get["n"]), int(gone.get["n"])
-            _log_batch(spark, paths, "ingest", batch_id, written + rejected, written, rejected, time.time() - t0)
+            _log_batch(spark, paths, "ingest", batch_id, written + rejected + deferred, written, rejected, time.time() - t0)
         finally:
             routed.unpersist()
 
-    q = _start(reader.load(landed_path), write_batch, paths.checkpoint, available_now, processing_time)
+    q = _start(stream, write_batch, paths.checkpoint, available_now, processing_time)
     _finish(q, timeout)
     return q
 
 
+def _write_routed(routed: DataFrame, paths: StreamPaths, batch_id: int, now: str, topic: str, topic_format: str, policy: RetryPolicy | None):
+    """Each row of a persisted routed batch to its sink; the numbers accepted, dead and deferred.
+
+    All three writes replace what the same batch id has written before.
+    """
+    sent, gone, later = (Observation(f"{n}_{uuid.uuid4().hex}") for n in ("sent", "gone", "later"))
+    n = F.count(F.lit(1)).alias("n")
+    acc = routed.where(F.col("sink") == "accepted").select("fetch_id", "user.*").observe(sent, n)
+    published = S.publish_messages(acc, topic, "id", columns=USER_COLUMNS, keep=("fetch_id",))
+    S.write_messages(published, topic_format, paths.table, batch_id, offset="fetch_id", now=now)
+    letters = (fetch_letters(routed, now, topic) if policy else D.to_dead_letters(routed, now, topic)).observe(gone, n)
+    S.write_dead_letters(letters, topic_format, paths.dead_letters, batch_id, now=now)
+    if not policy:
+        return int(sent.get["n"]), int(gone.get["n"]), 0
+    Q.enqueue(fetch_retries(routed).observe(later, n), paths.retries, batch_id)
+    return int(sent.get["n"]), int(gone.get["n"]), int(later.get["n"])
+
+
+# Rounds of retries write to the same sinks as the stream, under batch ids of their own: the upper half.
+FIRST_ROUND = 1 << (S.BATCH_BITS - 1)
+
+
+def run_retry_round(spark: SparkSession, paths: StreamPaths, claims: str, round_id: int, now: str,
+                    fetch: Callable[[DataFrame], DataFrame], policy: RetryPolicy = RetryPolicy(), topic: str = "user_data",
+                    topic_format: str = "parquet", normalize_first: bool = False) -> tuple[int, int, int]:
+    """Fetch again what is due at ``now`` and route it like a fresh fetch.
+
+    ``fetch`` gets (fetch_id, attempt) of the next tries and returns landed fetches (A3's columns) with the
+    same ids and attempts.  The round is settled last: one that fails is run again under its id, takes the same rows and
+    replaces what it had written.  Returns the numbers accepted, dead and deferred once more.
+    """
+    t0 = time.time()
+    batch_id = FIRST_ROUND + int(round_id)
+    due = Q.claim(spark, paths.retries, claims, round_id, now, RETRY_SCHEMA, below_batch=batch_id)
+    landed = fetch(due.select("fetch_id", (F.col("attempt") + 1).alias("attempt")))
+    routed = route_fetches(landed, policy, normalize_first).persist()
+    try:
+        written, rejected, deferred = _write_routed(routed, paths, batch_id, now, topic, topic_format, policy)
+        Q.settle(spark, claims, round_id)
+        _log_batch(spark, paths, "retries", batch_id, written + rejected + deferred, written, rejected, time.time() - t0)
+    finally:
+        routed.unpersist()
+    return written, rejected, deferred
+
+
 def run_dlq_stats_stream(spark: SparkSession, source: M.MessageSource, out_path: str, checkpoint: str,
                          available_now: bool = True, processing_time: str | None = None, timeout: float | None = None):
     """D3 and D4 kept current, one row per error type.
