@@ -41,12 +41,27 @@ def rejection_text() -> Column:
 
 def retries_so_far(text: Column) -> Column:
     """How often a message was replayed: its body's ``_retry_count``, 0 if there is none."""
-    return F.coalesce(F.get_json_object(text, "$._retry_count").try_cast("int"), F.lit(0))
+    return retry_number(F.get_json_object(text, "$._retry_count"))
+
+
+def retry_number(text: Column) -> Column:
+    """A retry count from its JSON text: 0 for none or no number; a number beyond 64 bits counts as the largest."""
+    huge = F.when(text.try_cast("double") > 0, F.lit((1 << 63) - 1)).otherwise(F.lit(0))
+    return F.coalesce(text.try_cast("bigint"), huge)
+
+
+# A date, with or without a time and an offset, as ISO 8601 writes them.
+ISO_TIME = r"^\d{4}-\d\d-\d\d([T ]\d\d(:\d\d(:\d\d(\.\d{1,6})?)?)?(Z|[+-]\d\d(:?\d\d)?)?)?$"
+
+
+def iso_timestamp(text: Column) -> Column:
+    """The time that an ISO text names; null for anything else, such as a time without a date or a bare year."""
+    return F.when(text.rlike(ISO_TIME), F.try_to_timestamp(text))
 
 
 def age_hours(ts_text: Column, now: str) -> Column:
     """(now - ts) in hours; unreadable or empty timestamp -> 0.0."""
-    ts = F.try_to_timestamp(ts_text)
+    ts = iso_timestamp(ts_text)
     now_ts = F.to_timestamp(F.lit(now))
     micros = F.unix_micros(now_ts) - F.unix_micros(ts)
     return F.coalesce(micros.cast("double") / F.lit(3_600_000_000.0), F.lit(0.0))
@@ -98,20 +113,22 @@ def plan_replay(decoded: DataFrame, target_topic: str | None = None, max_message
 
     Every read row counts, skipped and failed ones too.  Outcome: unreadable
     -> ``failed``; not replayable (when ``only_replayable``) -> ``skipped``
-    (tested before the body); body not a JSON object -> ``failed``; else
+    (tested before the body); body not a JSON object, with repeated keys or
+    followed by other text -> ``failed``; else
     ``retried`` with ``target_topic`` = the argument, else the letter's own
     topic, else the default (empty text counts as absent), and ``body`` =
     the original object plus ``_retry_count = retry_count + 1`` (replacing
     an existing one).  No shuffle: a top-k read, then one projection.
     """
     rows = first_rows(decoded, max_messages)
-    staged = rows.select("*", F.from_json(F.col("original_message"), "map<string,variant>").alias("_m"))
+    parsed = V.with_parsed(rows, "original_message", "_b")
+    is_obj = V.is_json_object_text("original_message", F.col("_b"))
+    staged = parsed.select("*", F.when(is_obj, F.try_variant_get("_b", "$", "map<string,variant>")).alias("_m"))
     ok_r = is_replayable(F.col("error_type"), F.col("retry_count"), limit, replayable)
-    is_obj = F.col("_m").isNotNull() & F.col("original_message").rlike(r"^[ \t\n\r]*\{")
     outcome = (
         F.when(~F.col("readable"), F.lit("failed"))
         .when(F.lit(only_replayable) & ~ok_r, F.lit("skipped"))
-        .when(~is_obj, F.lit("failed"))
+        .when(F.col("_m").isNull(), F.lit("failed"))
         .otherwise(F.lit("retried"))
     )
     staged = staged.select("*", outcome.alias("outcome"))

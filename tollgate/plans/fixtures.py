@@ -138,14 +138,21 @@ _ET = (
     "(CASE e.event_id % 6 WHEN 0 THEN 'ConnectionError' WHEN 1 THEN 'TimeoutError' WHEN 2 THEN 'CassandraWriteError' "
     "WHEN 3 THEN 'KafkaConnectionError' WHEN 4 THEN 'DataValidationError' ELSE 'TransformationError' END)"
 )
-_BODY = "(CASE WHEN e.event_id % 71 = 0 THEN '[1]' ELSE e.props END)"
+# poison bodies (repeated keys, text after the object) only where the body is JSON text inside the letter
+_BODY = (
+    "(CASE WHEN e.event_id % 71 = 0 THEN '[1]' WHEN e.event_id % 2 = 1 AND e.event_id % 73 = 0 THEN '{\"a\":1,\"a\":2}' "
+    "WHEN e.event_id % 2 = 1 AND e.event_id % 67 = 0 THEN '{\"a\":1} junk' ELSE e.props END)"
+)
 _TS_TEXT = {
-    "spark": "(CASE WHEN e.event_id % 83 = 0 THEN 'bad' ELSE date_format(e.ts, 'yyyy-MM-dd''T''HH:mm:ss.SSSSSS') || 'Z' END)",
-    "duckdb": "(CASE WHEN e.event_id % 83 = 0 THEN 'bad' ELSE strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END)",
+    "spark": "(CASE WHEN e.event_id % 83 = 0 THEN 'bad' WHEN e.event_id % 59 = 0 THEN '12:30' WHEN e.event_id % 61 = 0 THEN '2024-01' WHEN e.event_id % 53 = 0 THEN '2024-01-31' ELSE date_format(e.ts, 'yyyy-MM-dd''T''HH:mm:ss.SSSSSS') || 'Z' END)",
+    "duckdb": "(CASE WHEN e.event_id % 83 = 0 THEN 'bad' WHEN e.event_id % 59 = 0 THEN '12:30' WHEN e.event_id % 61 = 0 THEN '2024-01' WHEN e.event_id % 53 = 0 THEN '2024-01-31' ELSE strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END)",
 }
 _TOPIC = "(CASE WHEN e.event_id % 7 = 0 THEN '' ELSE 'user_data' END)"
 _MSG = "'failed event ' || CAST(e.event_id AS STRING)"
-_RC = "CAST(e.user_id % 5 AS STRING)"
+_RC = (
+    "(CASE WHEN e.event_id % 47 = 0 THEN '99999999999' WHEN e.event_id % 43 = 0 THEN '1e30' "
+    "ELSE CAST(e.user_id % 5 AS STRING) END)"
+)
 
 
 def _dl_value(dialect: str) -> str:

@@ -171,14 +171,16 @@ def _dl() -> str:
         f"CASE WHEN readable THEN coalesce({t('error_type')}, 'Unknown') END AS error_type, "
         f"CASE WHEN readable THEN coalesce({t('timestamp')}, '') END AS timestamp, "
         f"CASE WHEN readable THEN coalesce({t('topic')}, {t('source_topic')}, '') END AS topic, "
-        f"CASE WHEN readable THEN coalesce(TRY_CAST(json_extract_string({rc}, '$') AS INTEGER), 0) END AS retry_count "
+        f"CASE WHEN readable THEN coalesce(CASE WHEN TRY_CAST(json_extract_string({rc}, '$') AS DOUBLE) < 9e18 THEN "
+        f"TRY_CAST(json_extract_string({rc}, '$') AS BIGINT) WHEN {rc} IS NOT NULL THEN 9223372036854775807 END, 0) END AS retry_count "
         "FROM _dl0)\n"
     )
 
 
 def _age(ts: str) -> str:
     now = f"epoch_us(TIMESTAMP '{RUN_NOW[:-1].replace('T', ' ')}')"
-    return f"coalesce((({now} - epoch_us(TRY_CAST(replace({ts}, 'Z', '') AS TIMESTAMP))) / 3600000000.0), 0.0)"
+    iso = f"regexp_matches({ts}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([T ].*)?$')"
+    return f"coalesce((({now} - epoch_us(CASE WHEN {iso} THEN TRY_CAST(replace({ts}, 'Z', '') AS TIMESTAMP) END)) / 3600000000.0), 0.0)"
 
 
 def _replayable(et: str = "error_type", rc: str = "retry_count") -> str:
@@ -197,7 +199,11 @@ def _stats(limit: str) -> str:
 
 def _plan(limit: str) -> str:
     mo = "original_message"
-    is_obj = f"coalesce(CASE WHEN json_valid({mo}) THEN json_type(CAST({mo} AS JSON)) = 'OBJECT' END, false)"
+    keys = f"json_keys(CAST({mo} AS JSON))"
+    is_obj = (
+        f"coalesce(CASE WHEN json_valid({mo}) THEN json_type(CAST({mo} AS JSON)) = 'OBJECT' "
+        f"AND len({keys}) = len(list_distinct({keys})) END, false)"
+    )
     outcome = (
         f"CASE WHEN NOT readable THEN 'failed' WHEN NOT {_replayable()} THEN 'skipped' WHEN NOT {is_obj} THEN 'failed' "
         "ELSE 'retried' END"

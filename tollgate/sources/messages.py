@@ -174,6 +174,8 @@ def read_dead_letters(df: DataFrame) -> DataFrame:
     rc = V.get(F.col("_v"), "retry_count")
     rc_ok = rc.isNull() | V.is_number(rc)
     readable = V.is_json_object_text(F.col("_text"), F.col("_v")) & rc_ok
+    # a number beyond 64 bits counts as the largest, so that it is over any limit
+    huge = F.when(F.try_variant_get(rc, "$", "double") > 0, F.lit((1 << 63) - 1)).otherwise(F.lit(0))
     om = V.get(F.col("_v"), "original_message")
     om_text = F.when(V.vtype(om) == "STRING", F.try_variant_get(om, "$", "string")).otherwise(F.to_json(om))
     out = staged.select(
@@ -185,6 +187,6 @@ def read_dead_letters(df: DataFrame) -> DataFrame:
         F.when(readable, F.coalesce(txt("error_type"), F.lit("Unknown"))).alias("error_type"),
         F.when(readable, F.coalesce(txt("timestamp"), F.lit(""))).alias("timestamp"),
         F.when(readable, F.coalesce(txt("topic"), txt("source_topic"), F.lit(""))).alias("topic"),
-        F.when(readable, F.coalesce(F.try_variant_get(rc, "$", "int"), F.lit(0))).alias("retry_count"),
+        F.when(readable, F.coalesce(F.try_variant_get(rc, "$", "bigint"), huge)).alias("retry_count"),
     )
     return out

@@ -210,7 +210,7 @@ def run_dlq_stats_stream(spark: SparkSession, source: M.MessageSource, out_path:
     decoded = M.read_dead_letters(M.read_message_stream(spark, source)).where("readable")
     again = is_replayable(F.col("error_type"), F.col("retry_count"))
     counts = decoded.groupBy("error_type").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(again).alias("replayable"), F.min(F.try_to_timestamp(F.col("timestamp"))).alias("oldest")
+        F.count(F.lit(1)).alias("n"), F.count_if(again).alias("replayable"), F.min(D.iso_timestamp(F.col("timestamp"))).alias("oldest")
     )
 
     def write_batch(batch: DataFrame, batch_id: int):
