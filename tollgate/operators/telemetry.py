@@ -9,6 +9,8 @@ shuffle, and window functions only over pre-aggregated rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,34 +87,46 @@ def _windowed(log: DataFrame, ts: str, window: str, slide: str | None) -> DataFr
     return log.select("*", w.alias("_w"))
 
 
+# Microseconds of the units that window lengths are given in.
+_UNITS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def interval_micros(text: str) -> int:
+    """The length of an interval such as ``5 minutes`` or ``1 hour 30 seconds``."""
+    words = text.lower().removeprefix("interval ").split()
+    if not words or len(words) % 2 or any(u.rstrip("s") not in _UNITS for u in words[1::2]):
+        raise ValueError(f"not a length of time: {text!r}")
+    return sum(int(n) * _UNITS[u.rstrip("s")] for n, u in zip(words[::2], words[1::2], strict=True))
+
+
 def _per_window(log: DataFrame, ts: str, window: str, slide: str | None, keys: tuple[str, ...], counts: dict[str, Column]) -> DataFrame:
     """Counts by (sliding) window and ``keys``.
 
-    Rows are counted by slide first; only those counts, one row per slide and
-    key, are copied into the windows that a slide belongs to.  A stream has no
-    second aggregation in the same pass, so there each row is copied itself.
+    Rows are counted first by the longest step that divides window and slide, so that every step lies
+    wholly inside or outside a window; only those counts, one row per step and key, are copied
+    into the windows.  A stream has no second aggregation in the same pass, so there each row is copied itself.
     """
     if slide is None or log.isStreaming:
         return _windowed(log, ts, window, slide).groupBy(*keys, "_w").agg(*[c.alias(n) for n, c in counts.items()])
-    tumbling = _windowed(log, ts, slide, None).groupBy(*keys, "_w").agg(*[c.alias(n) for n, c in counts.items()])
+    step = f"{math.gcd(interval_micros(window), interval_micros(slide))} microseconds"
+    tumbling = _windowed(log, ts, step, None).groupBy(*keys, "_w").agg(*[c.alias(n) for n, c in counts.items()])
     tumbling = tumbling.withColumn("_t", F.col("_w.start")).drop("_w")
     return _windowed(tumbling, "_t", window, slide).groupBy(*keys, "_w").agg(*[F.sum(n).alias(n) for n in counts])
 
 
-def rate_per_second(log: DataFrame, window: str = "1 minute", slide: str | None = "15 seconds",
-                    window_seconds: int = 60, ts: str = "ts") -> DataFrame:
+def rate_per_second(log: DataFrame, window: str = "1 minute", slide: str | None = "15 seconds", ts: str = "ts") -> DataFrame:
     """Events per second per series in each (sliding) window.
 
     A plain count / window length; PromQL's edge extrapolation is not copied.
     On a stream, give ``log`` a watermark on ``ts``; windows come out once it
-    has passed their end.
+    has passed their end (``streaming.rates`` does so).
     """
     g = _per_window(log, ts, window, slide, ("series",), {"n": F.count(F.lit(1))})
     return g.select(
         "series",
         F.date_format("_w.start", TS_FORMAT).alias("window_start"),
         "n",
-        (F.col("n") / F.lit(float(window_seconds))).alias("rate"),
+        (F.col("n") / F.lit(interval_micros(window) / 1_000_000)).alias("rate"),
     )
 
 
@@ -133,15 +147,16 @@ def histograms(log: DataFrame, of: dict[str, tuple[str, tuple[float, ...]]]) ->
     named (column, bounds).
 
     One pass for all: a ``count_if`` per bound (partial aggregation), then the
-    single row is unpivoted into one row per bucket.
+    single row is unpivoted into one row per bucket.  A null is no observation.
     """
-    aggs, rows = [F.count(F.lit(1)).alias("cnt")], []
+    aggs, rows = [], []
     for h, (name, (value, bounds)) in enumerate(of.items()):
         v = F.col(value)
         aggs += [F.count_if(v <= F.lit(b)).alias(f"h{h}b{i}") for i, b in enumerate(bounds)]
+        aggs.append(F.count(v).alias(f"h{h}c"))
         aggs.append(F.coalesce(F.sum(v).cast("double"), F.lit(0.0)).alias(f"h{h}s"))
-        buckets = [(_le(b), f"h{h}b{i}") for i, b in enumerate(bounds)] + [("+Inf", "cnt")]
-        rows += [f"'{name}', '{le}', {n}, cnt, h{h}s" for le, n in buckets]
+        buckets = [(_le(b), f"h{h}b{i}") for i, b in enumerate(bounds)] + [("+Inf", f"h{h}c")]
+        rows += [f"'{name}', '{le}', {n}, h{h}c, h{h}s" for le, n in buckets]
     stack = f"stack({len(rows)}, {', '.join(rows)}) AS (histogram, le, bucket_count, total_count, total_sum)"
     return log.agg(*aggs).select(F.expr(stack))
 
@@ -173,10 +188,11 @@ def quantile_from_buckets(q: float, cum: list[Column], total: Column, bounds: tu
 
 def duration_quantiles(log: DataFrame, value: str = "batch_seconds", bounds: tuple[float, ...] = BATCH_BOUNDS,
                        window: str = "5 minutes", qs: tuple[float, ...] = (0.5, 0.99), ts: str = "ts") -> DataFrame:
-    """p50 / p99 of durations per tumbling window, from bucket counts."""
+    """p50 / p99 of durations per tumbling window, from bucket counts.  A null is no
+    observation; a window of nulls only has none and no quantiles."""
     v = F.col(value)
     g = _windowed(log, ts, window, None).groupBy("_w").agg(
-        *[F.count_if(v <= F.lit(b)).alias(f"b{i}") for i, b in enumerate(bounds)], F.count(F.lit(1)).alias("cnt")
+        *[F.count_if(v <= F.lit(b)).alias(f"b{i}") for i, b in enumerate(bounds)], F.count(v).alias("cnt")
     )
     cum = [F.col(f"b{i}") for i in range(len(bounds))]
     return g.select(

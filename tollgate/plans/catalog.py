@@ -28,6 +28,7 @@ from tollgate.sources import due_queue as Q
 from tollgate.sources import messages as M
 from tollgate.sources import sinks as S
 from tollgate.streaming import pipeline as ST
+from tollgate.streaming import replay as RP
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -365,6 +366,33 @@ def replay_published(spark, sf_dir):
     return spark.read.parquet(path).select(M.message_text().alias("value"), "topic")
 
 
+@query
+def replay_ledger(spark, sf_dir):
+    """D5 as a consumer group: three runs over a growing topic, the second of which can't send; what was sent, when."""
+    topic, letters = fresh_dir(spark, "replayed"), _dl(spark, sf_dir)
+    ledger, send = fresh_dir(spark, "ledger"), RP.to_topic(topic, now=RUN_NOW)
+
+    def down(messages, run_id):
+        raise ConnectionError("no broker")
+
+    RP.replay(letters.where("offset % 3 = 0"), ledger, 0, send)
+    try:
+        RP.replay(letters, ledger, 1, down)
+    except ConnectionError:
+        RP.compact_ledger(spark, ledger)
+    RP.replay(letters, ledger, 2, send)
+    RP.replay(letters, ledger, 3, send)  # nothing is left
+    plans = [spark.read.schema(RP.PLAN_SCHEMA).parquet(f"{ledger}/plan={n}").withColumn("run", F.lit(n)) for n in (0, 2, 3)]
+    plan = plans[0].unionByName(plans[1]).unionByName(plans[2])
+    sent = spark.read.parquet(topic).select(F.col("batch_id").cast("int").alias("run"), M.message_text().alias("value"), "topic")
+    told = RP.sent_letters(spark, ledger).join(plan.where("outcome = 'retried'"), ["partition", "offset", "run"])
+    told = told.select("partition", "offset", "run", F.col("target_topic").alias("topic"), F.col("body").alias("value"))
+    counted = sent.groupBy("run", "value", "topic").agg(F.count(F.lit(1)).alias("n"))
+    again = told.groupBy("run", "value", "topic").agg(F.count(F.lit(1)).alias("n"))
+    matching = counted.intersect(again).drop("n")  # every message in the topic as often as the ledger has it
+    return told.join(matching, ["run", "value", "topic"], "left_semi").select("partition", "offset", F.col("run").cast("int"), "topic", "value")
+
+
 @query
 def replay_summary(spark, sf_dir):
     return D.replay_summary(D.plan_replay(_dl(spark, sf_dir), max_messages=None))
@@ -488,6 +516,18 @@ def rate_per_second(spark, sf_dir):
     return TM.rate_per_second(_log(spark, sf_dir))
 
 
+@query
+def rate_odd_slide(spark, sf_dir):
+    """E4 with a slide that doesn't divide the window."""
+    return TM.rate_per_second(_log(spark, sf_dir), "1 minute", "25 seconds")
+
+
+@query
+def rate_five_minutes(spark, sf_dir):
+    """E4 over tumbling windows of another length."""
+    return TM.rate_per_second(_log(spark, sf_dir), "5 minutes", None)
+
+
 @query
 def dead_letter_share(spark, sf_dir):
     return TM.dead_letter_share(_log(spark, sf_dir))

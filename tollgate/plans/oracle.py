@@ -357,6 +357,10 @@ ORACLE["stream_dlq_stats"] = ORACLE["dlq_error_types"]
 ORACLE["replay_plan"] = _plan("") + "SELECT * FROM plan"
 ORACLE["replay_plan_first_100"] = _plan("LIMIT 100") + "SELECT * FROM plan"
 ORACLE["replay_published"] = _plan("") + "SELECT body AS value, target_topic AS topic FROM plan WHERE outcome = 'retried'"
+ORACLE["replay_ledger"] = _plan("") + (
+    "SELECT \"partition\", \"offset\", CASE WHEN \"offset\" % 3 = 0 THEN 0 ELSE 2 END AS run, target_topic AS topic, body AS value "
+    "FROM plan WHERE outcome = 'retried'"
+)
 ORACLE["stream_dlq_totals"] = ORACLE["dlq_stats_all"]
 ORACLE["replay_summary"] = _plan("") + (
     "SELECT count(*) FILTER (WHERE outcome = 'retried') AS retried, count(*) FILTER (WHERE outcome = 'skipped') AS skipped, "
@@ -432,6 +436,16 @@ ORACLE["rate_per_second"] = _L + _SLIDES + (
     f"SELECT series, strftime(ws, {_TSF}) AS window_start, count(*) AS n, count(*) / CAST(60 AS DOUBLE) AS rate "
     "FROM _w GROUP BY series, ws"
 )
+ORACLE["rate_odd_slide"] = _L + (
+    ", _s AS (SELECT l.*, time_bucket(INTERVAL 25 SECOND, ts, TIMESTAMP '1970-01-01') - to_seconds(25 * k) AS ws "
+    "FROM delivery_log l, range(3) AS t(k)) "
+    f"SELECT series, strftime(ws, {_TSF}) AS window_start, count(*) AS n, count(*) / CAST(60 AS DOUBLE) AS rate "
+    "FROM _s WHERE ts < ws + INTERVAL 60 SECOND GROUP BY series, ws"
+)
+ORACLE["rate_five_minutes"] = _L + (
+    f"SELECT series, strftime(time_bucket(INTERVAL 5 MINUTE, ts), {_TSF}) AS window_start, count(*) AS n, "
+    "count(*) / CAST(300 AS DOUBLE) AS rate FROM delivery_log GROUP BY ALL"
+)
 ORACLE["dead_letter_share"] = _L + _SLIDES + (
     ", _g AS (SELECT ws, count(*) FILTER (WHERE series = 'dlq') AS dlq, count(*) FILTER (WHERE series = 'sent') AS sent "
     "FROM _w GROUP BY ws) "
@@ -443,10 +457,10 @@ ORACLE["dead_letter_share"] = _L + _SLIDES + (
 def _hist(name: str, col: str, bounds) -> str:
     parts = []
     les = [repr(float(b)) for b in bounds] + ["+Inf"]
-    conds = [f"{col} <= {_f(b)}" for b in bounds] + ["true"]
+    conds = [f"{col} <= {_f(b)}" for b in bounds] + [f"{col} IS NOT NULL"]
     for le, cond in zip(les, conds):
         parts.append(
-            f"SELECT '{name}' AS histogram, '{le}' AS le, count(*) FILTER (WHERE {cond}) AS bucket_count, count(*) AS total_count, "
+            f"SELECT '{name}' AS histogram, '{le}' AS le, count(*) FILTER (WHERE {cond}) AS bucket_count, count({col}) AS total_count, "
             f"round(coalesce(sum({col}), 0.0), 4) AS total_sum FROM delivery_log"
         )
     return " UNION ALL ".join(parts)
@@ -470,7 +484,7 @@ def _quantile(q: float, bounds) -> str:
 
 _qb = ", ".join(f"count(*) FILTER (WHERE batch_seconds <= {_f(b)}) AS b{i}" for i, b in enumerate(BATCH_BOUNDS))
 ORACLE["duration_quantiles"] = _L + (
-    f", _g AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ws, {_qb}, count(*) AS cnt FROM delivery_log GROUP BY ws) "
+    f", _g AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ws, {_qb}, count(batch_seconds) AS cnt FROM delivery_log GROUP BY ws) "
     f"SELECT strftime(ws, {_TSF}) AS window_start, cnt, {_quantile(0.5, BATCH_BOUNDS)} AS p50, "
     f"{_quantile(0.99, BATCH_BOUNDS)} AS p99 FROM _g"
 )
