@@ -134,8 +134,69 @@ def dead_letter_share(log: DataFrame, window: str = "1 minute", slide: str | Non
     """E5: dlq / (sent + dlq) * 100 per window; null when neither occurred.  Streams as in E4."""
     s = F.col("series")
     g = _per_window(log, ts, window, slide, (), {"dlq": F.count_if(s == "dlq"), "sent": F.count_if(s == "sent")})
-    share = F.try_divide(F.col("dlq").cast("double"), (F.col("sent") + F.col("dlq")).cast("double")) * F.lit(100.0)
-    return g.select(F.date_format("_w.start", TS_FORMAT).alias("window_start"), "dlq", "sent", share.alias("dlq_percent"))
+    return g.select(F.date_format("_w.start", TS_FORMAT).alias("window_start"), "dlq", "sent", dead_letter_percent().alias("dlq_percent"))
+
+
+def dead_letter_percent() -> Column:
+    """dlq / (sent + dlq) * 100 of the columns ``dlq`` and ``sent``; null without either."""
+    return F.try_divide(F.col("dlq").cast("double"), (F.col("sent") + F.col("dlq")).cast("double")) * F.lit(100.0)
+
+
+def counter_increase(samples: DataFrame, window: str = "1 minute", ts: str = "ts") -> DataFrame:
+    """E3, E4 on scraped counters: growth and rate per series and tumbling window, across resets.
+
+    ``samples`` holds a counter's ``value`` by ``series`` and time.  A value below the one before is a counter
+    that began again at zero, so all of it is growth; a series' first sample only sets the start.  Growth
+    belongs to the window of the later sample.  The window function orders each series by itself: scrapes are
+    one row per series and interval, already counts.
+    """
+    order = Window.partitionBy("series").orderBy(ts, "value")
+    before = F.lag("value").over(order)
+    grown = F.when(before.isNull(), F.lit(0.0)).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
+    rows = samples.where(F.col("value").isNotNull() & F.col(ts).isNotNull()).select(
+        "series", ts, grown.cast("double").alias("_grown"), (F.col("value") < before).alias("_reset")
+    )
+    g = _windowed(rows, ts, window, None).groupBy("series", "_w").agg(F.sum("_grown").alias("increase"), F.count_if("_reset").alias("resets"))
+    return g.select(
+        "series",
+        F.date_format("_w.start", TS_FORMAT).alias("window_start"),
+        "increase",
+        "resets",
+        (F.col("increase") / F.lit(interval_micros(window) / 1_000_000)).alias("rate"),
+    )
+
+
+def bucket_vectors(log: DataFrame, value: str = "batch_seconds", bounds: tuple[float, ...] = BATCH_BOUNDS, step: str = "1 minute",
+                   ts: str = "ts") -> DataFrame:
+    """E6 in a form that merges: per step of time the cumulative bucket counts, number and sum of ``value``.
+
+    Vectors of different inputs, or of streamed batches, add up (``merged_vectors``); nulls are no observations.
+    """
+    v = F.col(value)
+    counts = [F.count_if(v <= F.lit(b)) for b in bounds]
+    return _windowed(log, ts, step, None).groupBy(F.col("_w.start").alias("step")).agg(
+        F.array(*counts).alias("buckets"), F.count(v).alias("cnt"), F.coalesce(F.sum(v).cast("double"), F.lit(0.0)).alias("total")
+    )
+
+
+def merged_vectors(vectors: DataFrame, buckets: int, by: tuple[Column | str, ...]) -> DataFrame:
+    """The sums of bucket vectors of one length by ``by``."""
+    parts = [F.sum(F.col("buckets")[i]) for i in range(buckets)]
+    return vectors.groupBy(*by).agg(F.array(*parts).alias("buckets"), F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
+
+
+def sliding_quantiles(vectors: DataFrame, bounds: tuple[float, ...] = BATCH_BOUNDS, window: str = "5 minutes", slide: str = "1 minute",
+                      step: str = "1 minute", qs: tuple[float, ...] = (0.5, 0.99)) -> DataFrame:
+    """E7 over sliding windows, from ``bucket_vectors`` whose ``step`` divides window and slide."""
+    if interval_micros(window) % interval_micros(step) or interval_micros(slide) % interval_micros(step):
+        raise ValueError("the vectors' step must divide window and slide")
+    g = merged_vectors(_windowed(vectors, "step", window, slide), len(bounds), ("_w",))
+    cum = [F.col("buckets")[i] for i in range(len(bounds))]
+    return g.select(
+        F.date_format("_w.start", TS_FORMAT).alias("window_start"),
+        "cnt",
+        *[quantile_from_buckets(q, cum, F.col("cnt"), bounds).alias(f"p{int(round(q * 100))}") for q in qs],
+    )
 
 
 def _le(b: float) -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tollgate.functions import text as T
@@ -28,6 +28,8 @@ from tollgate.sources import due_queue as Q
 from tollgate.sources import messages as M
 from tollgate.sources import sinks as S
 from tollgate.streaming import pipeline as ST
+from tollgate.streaming import progress as PG
+from tollgate.streaming import rates as RT
 from tollgate.streaming import replay as RP
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -546,6 +548,30 @@ def duration_quantiles(spark, sf_dir):
     return out.withColumns({p: F.round(p, 9) for p in ("p50", "p99")})
 
 
+@query
+def sliding_quantiles(spark, sf_dir):
+    """E7 over sliding windows, from two halves' bucket vectors added up."""
+    log = _log(spark, sf_dir)
+    halves = [TM.bucket_vectors(log.where(F.col("event_id") % 2 == k)) for k in range(2)]
+    merged = TM.merged_vectors(halves[0].unionByName(halves[1]), len(TM.BATCH_BOUNDS), ("step",))
+    out = TM.sliding_quantiles(merged)
+    return out.withColumns({p: F.round(p, 9) for p in ("p50", "p99")})
+
+
+def _scrapes(spark, sf_dir) -> DataFrame:
+    """The delivery log's totals as a scraper sees them: a sample for each 15 seconds with events, a reset every six hours."""
+    log = _log(spark, sf_dir).groupBy("series", F.window("ts", "15 seconds")["end"].alias("ts")).agg(F.count(F.lit(1)).alias("n"))
+    life = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 21_600_000_000)
+    w = Window.partitionBy("series", life).orderBy("ts")
+    return log.select("series", "ts", F.sum("n").over(w).alias("value"))
+
+
+@query
+def counter_increase(spark, sf_dir):
+    """E3, E4 on scraped counters that now and then begin again at zero."""
+    return TM.counter_increase(_scrapes(spark, sf_dir))
+
+
 @query
 def dlq_status(spark, sf_dir):
     return TM.dlq_status(_log(spark, sf_dir))
@@ -678,6 +704,47 @@ def retry_queue(spark, sf_dir):
     return Q.queued(spark, paths.retries, RETRY_SCHEMA).select("fetch_id", "attempt", "error_type", "status", due)
 
 
+def _rate_stream(spark, sf_dir) -> str:
+    """The delivery log streamed in four pieces, in order of time, the second of them delivered twice."""
+    log = _log(spark, sf_dir).select("event_id", "series", "ts").persist()
+    landed, out = fresh_dir(spark, "log"), fresh_dir(spark, "windows")
+    try:
+        cuts = log.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+        t = F.unix_micros(F.col("ts").cast("timestamp"))
+        step = (cuts["b"] - cuts["a"]) // 4 + 1
+        for k, piece in enumerate((0, 1, 1, 2, 3)):
+            rows = log.where((t >= cuts["a"] + piece * step) & (t < cuts["a"] + (piece + 1) * step))
+            rows.coalesce(1).write.mode("append").parquet(f"{landed}/piece={k}")
+    finally:
+        log.unpersist()
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{landed}/piece=*")
+    RT.run_rate_stream(stream, out, fresh_dir(spark, "ckpt"))
+    return out
+
+
+@query
+def stream_rates(spark, sf_dir):
+    """E4 as a running stream: the rates of all windows that the watermark has passed."""
+    return RT.rates_now(spark, _rate_stream(spark, sf_dir))
+
+
+@query
+def stream_shares(spark, sf_dir):
+    """E5 as a running stream."""
+    return RT.shares_now(spark, _rate_stream(spark, sf_dir))
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """E9 from query progress: rows that F1, F4 and F5 report, batch by batch, added up."""
+    path = fresh_dir(spark, "progress")
+    with PG.watched(spark, path):
+        _stream_users(spark, sf_dir)
+        _ingest(spark, sf_dir)
+        _dlq_stream(spark, sf_dir)
+    return PG.progress(spark, path).groupBy("query").agg(F.sum("input_rows").alias("rows"), F.sum("late_rows").alias("late_rows"))
+
+
 def _dlq_stream(spark, sf_dir) -> str:
     src_path = _stage_files(spark, FX.dead_letters(spark, sf_dir), "topic_dlq")
     out, ckpt = fresh_dir(spark, "dlq_stats"), fresh_dir(spark, "ckpt")

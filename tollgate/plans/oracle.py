@@ -488,6 +488,36 @@ ORACLE["duration_quantiles"] = _L + (
     f"SELECT strftime(ws, {_TSF}) AS window_start, cnt, {_quantile(0.5, BATCH_BOUNDS)} AS p50, "
     f"{_quantile(0.99, BATCH_BOUNDS)} AS p99 FROM _g"
 )
+_PASSED = "ws + INTERVAL 60 SECOND <= (SELECT max(ts) FROM delivery_log) - INTERVAL 10 MINUTE"
+ORACLE["stream_rates"] = _L + _SLIDES + (
+    f"SELECT series, strftime(ws, {_TSF}) AS window_start, count(*) AS n, count(*) / CAST(60 AS DOUBLE) AS rate "
+    f"FROM _w WHERE {_PASSED} GROUP BY series, ws"
+)
+ORACLE["stream_shares"] = _L + _SLIDES + (
+    ", _g AS (SELECT ws, count(*) FILTER (WHERE series = 'dlq') AS dlq, count(*) FILTER (WHERE series = 'sent') AS sent "
+    f"FROM _w WHERE {_PASSED} GROUP BY ws) "
+    f"SELECT strftime(ws, {_TSF}) AS window_start, dlq, sent, "
+    "CAST(dlq AS DOUBLE) / nullif(CAST(sent + dlq AS DOUBLE), 0) * 100.0 AS dlq_percent FROM _g"
+)
+ORACLE["stream_progress"] = duckdb_cte("user_messages", "raw_responses", "dead_letters") + (
+    "SELECT 'users' AS query, count(*) AS rows, 0 AS late_rows FROM user_messages UNION ALL "
+    "SELECT 'ingest', count(*), 0 FROM raw_responses UNION ALL SELECT 'dlq_stats', count(*), 0 FROM dead_letters"
+)
+ORACLE["sliding_quantiles"] = _L + (
+    ", _s AS (SELECT l.*, time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(k) AS ws FROM delivery_log l, range(5) AS t(k))"
+    f", _g AS (SELECT ws, {_qb}, count(batch_seconds) AS cnt FROM _s GROUP BY ws) "
+    f"SELECT strftime(ws, {_TSF}) AS window_start, cnt, {_quantile(0.5, BATCH_BOUNDS)} AS p50, "
+    f"{_quantile(0.99, BATCH_BOUNDS)} AS p99 FROM _g"
+)
+ORACLE["counter_increase"] = _L + (
+    ", _n AS (SELECT series, time_bucket(INTERVAL 15 SECOND, ts) + INTERVAL 15 SECOND AS seen, count(*) AS n FROM delivery_log GROUP BY ALL)"
+    ", _v AS (SELECT series, seen, sum(n) OVER (PARTITION BY series, epoch_us(seen) // 21600000000 ORDER BY seen) AS value FROM _n)"
+    ", _i AS (SELECT series, seen, value, lag(value) OVER (PARTITION BY series ORDER BY seen, value) AS before FROM _v)"
+    ", _d AS (SELECT series, time_bucket(INTERVAL 1 MINUTE, seen) AS ws, CASE WHEN before IS NULL THEN 0 WHEN value < before THEN value "
+    "ELSE value - before END AS grown, value < before AS reset FROM _i) "
+    f"SELECT series, strftime(ws, {_TSF}) AS window_start, CAST(sum(grown) AS DOUBLE) AS increase, count(*) FILTER (WHERE reset) AS resets, "
+    "CAST(sum(grown) AS DOUBLE) / 60 AS rate FROM _d GROUP BY series, ws"
+)
 ORACLE["dlq_status"] = _L + (
     ", _t AS (SELECT count(*) FILTER (WHERE series = 'dlq') AS dlq_total FROM delivery_log) "
     f"SELECT dlq_total, CASE WHEN dlq_total >= 1 THEN 'red' ELSE 'green' END AS status FROM _t"

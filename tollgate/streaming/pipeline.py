@@ -60,8 +60,8 @@ def _utc_now() -> str:
     return datetime.now(timezone.utc).isoformat(timespec="microseconds").replace("+00:00", "Z")
 
 
-def _start(stream_df: DataFrame, fn: Callable, checkpoint: str, available_now: bool, processing_time: str | None):
-    w = stream_df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+def _start(stream_df: DataFrame, fn: Callable, checkpoint: str, available_now: bool, processing_time: str | None, name: str):
+    w = stream_df.writeStream.queryName(name).foreachBatch(fn).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
@@ -72,14 +72,20 @@ def _start(stream_df: DataFrame, fn: Callable, checkpoint: str, available_now: b
 def run_user_stream(spark: SparkSession, source: M.MessageSource, paths: StreamPaths, available_now: bool = True,
                     processing_time: str | None = None, timeout: float | None = None,
                     on_batch: Callable[[DataFrame, int], None] | None = None, now: str | None = None,
-                    dead_letter_format: str = "parquet"):
+                    dead_letter_format: str = "parquet", redelivery: str | None = None, name: str = "users"):
     """endless (or ``availableNow`` / time-bounded) user stream.
 
     Offsets live in the checkpoint; a restart resumes after the last
     committed batch.  ``timeout`` bounds the run (F2): wait, then stop.  Dead
     letters carry the message as it came and ``now``, or the time of their batch.
+
+    ``redelivery`` (a length of time) keeps messages that a topic hands out twice within it from counting twice:
+    a message is known by topic, partition and offset.  Messages older than the newest one by more than that are
+    dropped then, and counted as late in the progress log; without it every delivery counts, the table alone is the same.
     """
     raw = M.read_message_stream(spark, source)
+    if redelivery:
+        raw = raw.withWatermark("timestamp", redelivery).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
     decoded = M.decode_messages(raw, keep=("partition", "offset", "timestamp", "value"))
 
     def write_batch(batch: DataFrame, batch_id: int):
@@ -107,7 +113,7 @@ def run_user_stream(spark: SparkSession, source: M.MessageSource, paths: StreamP
         finally:
             batch.unpersist()
 
-    q = _start(decoded, write_batch, paths.checkpoint, available_now, processing_time)
+    q = _start(decoded, write_batch, paths.checkpoint, available_now, processing_time, name)
     _finish(q, timeout)
     return q
 
@@ -116,7 +122,7 @@ def run_ingest_stream(spark: SparkSession, landed_path: str, paths: StreamPaths,
                       fmt: str = "json", available_now: bool = True, processing_time: str | None = None,
                       timeout: float | None = None, on_batch: Callable[[DataFrame, int], None] | None = None,
                       max_files: int | None = None, topic: str = "user_data", topic_format: str = "parquet",
-                      normalize_first: bool = False, policy: RetryPolicy | None = None):
+                      normalize_first: bool = False, policy: RetryPolicy | None = None, name: str = "ingest"):
     """landed responses -> route -> accepted users + dead letters.
 
     Accepted rows are published to the user topic (JSON keyed by id, in the
@@ -149,7 +155,7 @@ def run_ingest_stream(spark: SparkSession, landed_path: str, paths: StreamPaths,
         finally:
             routed.unpersist()
 
-    q = _start(stream, write_batch, paths.checkpoint, available_now, processing_time)
+    q = _start(stream, write_batch, paths.checkpoint, available_now, processing_time, name)
     _finish(q, timeout)
     return q
 
@@ -200,7 +206,8 @@ def run_retry_round(spark: SparkSession, paths: StreamPaths, claims: str, round_
 
 
 def run_dlq_stats_stream(spark: SparkSession, source: M.MessageSource, out_path: str, checkpoint: str,
-                         available_now: bool = True, processing_time: str | None = None, timeout: float | None = None):
+                         available_now: bool = True, processing_time: str | None = None, timeout: float | None = None,
+                         name: str = "dlq_stats"):
     """D3 and D4 kept current, one row per error type.
 
     A streaming aggregation (state store keyed by error type) in ``complete``
@@ -216,7 +223,7 @@ def run_dlq_stats_stream(spark: SparkSession, source: M.MessageSource, out_path:
     def write_batch(batch: DataFrame, batch_id: int):
         batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/upto={int(batch_id)}")
 
-    w = counts.writeStream.outputMode("complete").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = counts.writeStream.queryName(name).outputMode("complete").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else (w.trigger(processingTime=processing_time) if processing_time else w)
     q = w.start()
     _finish(q, timeout)
