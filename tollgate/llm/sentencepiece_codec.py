@@ -11,6 +11,8 @@ import hashlib
 import os
 import re
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -113,6 +115,14 @@ def backend(model: Model) -> Tokenizer:
     raise ValueError(f"model type {model.kind} isn't supported")
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    out = array("i", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Codec:
     """Encoder and decoder of one model, with SentencePiece beside them for parity.
 
@@ -126,7 +136,7 @@ class Codec:
         self.model = parse(raw)
         self.fast = backend(self.model)
         self.own = sentencepiece.SentencePieceProcessor(model_proto=raw)
-        self.threads, self.words = threads, words
+        self.words = words
         self.charsmap = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
         apart = all(MARK not in p.lstrip(MARK) for p, *_ in self.model.pieces)
         self.split = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall if apart else lambda text: [text] if text else []
@@ -152,16 +162,17 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text; words not yet known are encoded together, on several threads."""
         cut = [self.split(self.normalise(t)) for t in texts]
-        if len(self.known) > self.words:
-            self.known = {}
-        new = list(set().union(*cut) - self.known.keys())
+        own = set().union(*cut)
+        if len(self.known) > self.words:  # this batch's words stay, the common ones among them
+            self.known = {w: self.known[w] for w in own & self.known.keys()}
+        new = list(own - self.known.keys())
         for word, e in zip(new, self.fast.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(e.ids, "<i4").tobytes()
+            self.known[word] = packed(e.ids)
         return [b"".join([self.known[w] for w in words]) for words in cut]
 
     def reference(self, texts: list[str]) -> list[bytes]:
-        """SentencePiece's own ids of whole texts."""
-        return [np.array(i, "<i4").tobytes() for i in self.own.encode(texts, num_threads=self.threads)]
+        """SentencePiece's own ids of whole texts, on one thread, which takes the least work."""
+        return [packed(i) for i in self.own.encode(texts, num_threads=1)]
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join([self.bytes_of[i] for i in ids])
