@@ -130,7 +130,7 @@ class Codec:
     is among the last ``words`` different ones.  Ids are little-endian 32-bit integers.
     """
 
-    def __init__(self, raw: bytes, threads: int, words: int = 100_000):
+    def __init__(self, raw: bytes, threads: int, words: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         self.model = parse(raw)
