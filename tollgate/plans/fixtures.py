@@ -58,14 +58,14 @@ _USER_JSON = (
     "WHEN c.c_custkey % 37 = 0 THEN 'null' ELSE '\"  ' || c.c_mktsegment || ' \"' END)"
     " || ',\"last\":\"' || c.c_name || '\"},'"
     " || '\"location\":{\"street\":{\"number\":' || (CASE WHEN c.c_custkey % 43 = 0 THEN '\"x\"' ELSE " + _K + " END)"
-    " || ',\"name\":\"Main Street\"},\"city\":\"' || (CASE WHEN c.c_custkey % 47 = 0 THEN '' ELSE n.n_name END)"
+    " || ',\"name\":\"Kiln Row\"},\"city\":\"' || (CASE WHEN c.c_custkey % 47 = 0 THEN '' ELSE n.n_name END)"
     " || '\",\"state\":\"' || r.r_name || '\",\"country\":\"C' || CAST(n.n_regionkey AS STRING) || '\",'"
     " || '\"postcode\":' || (CASE WHEN c.c_custkey % 29 = 0 THEN 'null' ELSE CAST(c.c_custkey * 7 AS STRING) END) || '},'"
     " || '\"email\":\"' || (CASE WHEN c.c_custkey % 31 = 0 THEN 'not-an-email' ELSE 'User' || " + _K + " || '@Example.COM' END) || '\",'"
     " || '\"login\":{\"uuid\":\"u-' || " + _K + " || '\",\"username\":\"u' || " + _K + " || '\"},'"
-    " || '\"dob\":{\"date\":\"1990-01-15T10:30:00.000Z\",\"age\":34},'"
-    " || '\"registered\":{\"date\":\"2020-05-20T08:00:00.000Z\",\"age\":4},'"
-    " || '\"phone\":\"555-1234\",\"cell\":\"555-0000\","
+    " || '\"dob\":{\"date\":\"1967-11-08T21:14:37.512Z\",\"age\":57},'"
+    " || '\"registered\":{\"date\":\"2013-02-27T16:45:09.204Z\",\"age\":11},'"
+    " || '\"phone\":\"0161-40-77\",\"cell\":\"07700-31\","
     "\"picture\":{\"large\":\"https://pics.example/l.jpg\",\"medium\":\"https://pics.example/m.jpg\","
     "\"thumbnail\":\"https://pics.example/t.jpg\"},\"nat\":\"US\"'"
 )
@@ -102,9 +102,9 @@ _MSG_TAIL = (
     " || '\",\"last_name\":\"' || c.c_name"
     " || '\",\"gender\":\"' || (CASE WHEN o.o_orderkey % 101 = 0 THEN 'unknown' WHEN c.c_custkey % 3 = 0 THEN 'male' "
     "WHEN c.c_custkey % 3 = 1 THEN 'female' ELSE 'other' END)"
-    " || '\",\"address\":\"' || " + _CK + " || ' Main Street, ' || n.n_name || ', ' || r.r_name"
+    " || '\",\"address\":\"' || " + _CK + " || ' Kiln Row, ' || n.n_name || ', ' || r.r_name"
     " || '\",\"email\":\"user' || " + _CK + " || '@example.com\",\"username\":\"u' || " + _CK
-    + " || '\",\"dob\":\"1990-01-15T10:30:00.000Z\",\"registered_date\":\"2020-05-20T08:00:00.000Z\""
+    + " || '\",\"dob\":\"1967-11-08T21:14:37.512Z\",\"registered_date\":\"2013-02-27T16:45:09.204Z\""
     ",\"phone\":\"' || CAST(o.o_orderkey AS STRING) || '\",\"picture\":\"https://pics.example/m.jpg\"'"
     " || (CASE WHEN o.o_orderkey % 103 = 0 THEN ',\"nickname\":\"x\"' ELSE '' END) || '}'"
 )
