@@ -148,6 +148,13 @@ def test_fit_is_repeatable_and_uses_a_bounded_sample(docs):
     assert words == personal_data.sample_words(frame, "doc_id", "text", 10) and set(words) <= set(WORDS)
 
 
+def test_a_bound_on_the_hash_keeps_the_sample(docs):
+    frame = docs([(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}".replace("word", "")) for i in range(3000)])
+    few = personal_data.sample_words(frame, "doc_id", "text", 100)  # bounded
+    many = personal_data.sample_words(frame, "doc_id", "text", 300)  # not bounded
+    assert len(few) == 100 and len(many) == 300 and set(few) <= set(many)
+
+
 def test_repeated_rows_null_ids_empty_tables(docs, field):
     got = personal_data.find_personal_data(docs([(1, SAID[0]), (1, SAID[0]), (None, SAID[0]), (2, None), (3, "")]), field=field).collect()
     assert sorted((r["id"], len(r["spans"]) > 0) for r in got) == [(1, True), (2, False), (3, False)]
