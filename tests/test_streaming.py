@@ -119,7 +119,9 @@ def test_replays_count_up_until_the_limit(spark):
 def test_ingest_to_topic_to_table(spark):
     bodies = [response(USER_RECORD), response(with_changes(phone="9")), "no json", response(with_changes(email="bad"))]
     landed = fresh_dir(spark, "landed")
-    spark.createDataFrame(list(enumerate(bodies)), "response_id long, body string").repartition(2).write.json(landed)
+    rows = list(enumerate(bodies))
+    for piece in (rows[:2], rows[2:]):  # one file after another: a stream takes files by their time
+        spark.createDataFrame(piece, "response_id long, body string").coalesce(1).write.mode("append").json(landed)
     first, then = stream_paths(spark), stream_paths(spark)
     ST.run_ingest_stream(spark, landed, first, max_files=1)
     log = ST.batch_log(spark, first.batch_log)
