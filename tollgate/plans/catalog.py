@@ -27,6 +27,7 @@ from tollgate.session import fresh_dir
 from tollgate.sources import due_queue as Q
 from tollgate.sources import messages as M
 from tollgate.sources import sinks as S
+from tollgate.sources import user_state as US
 from tollgate.streaming import pipeline as ST
 from tollgate.streaming import progress as PG
 from tollgate.streaming import rates as RT
@@ -243,6 +244,32 @@ def compacted_users(spark, sf_dir):
     return S.current_users(spark, path, compacted)
 
 
+def _bucketed(spark, sf_dir) -> tuple[str, str]:
+    """A change log of four batches, and a bucketed state brought up to date after the first and the third."""
+    path, folder = fresh_dir(spark, "users"), fresh_dir(spark, "bucketed")
+    order = _three_batches(spark, sf_dir)
+    for n in range(3):
+        S.upsert_users(spark.read.parquet(f"{order}/batch_id={n}"), n, path)
+        if n != 1:
+            US.compact(spark, path, folder, buckets=8)
+    S.upsert_users(spark.read.parquet(f"{order}/batch_id=0"), 3, path)
+    return path, folder
+
+
+@query
+def bucketed_users(spark, sf_dir):
+    """A6 as a bucketed state: two compactions, the second a merge, and an old batch once more after them."""
+    return US.users(spark, *_bucketed(spark, sf_dir), buckets=8)
+
+
+@query
+def users_looked_up(spark, sf_dir):
+    """A6 by id: the smallest and the largest id of the table, each read from its own bucket."""
+    path, folder = _bucketed(spark, sf_dir)
+    ends = US.state(spark, folder, 8).agg(F.min("id"), F.max("id")).first()
+    return US.lookup(spark, path, folder, list(ends), buckets=8)
+
+
 @query
 def replay_idempotent(spark, sf_dir):
     """batch 1 written twice (a replay) leaves the same table."""

@@ -310,6 +310,11 @@ ORACLE["upsert_latest"] = _latest()
 ORACLE["current_users"] = _latest()
 ORACLE["replay_idempotent"] = _latest()
 ORACLE["compacted_users"] = _latest()
+ORACLE["bucketed_users"] = _latest()
+ORACLE["users_looked_up"] = (
+    f"WITH latest AS MATERIALIZED ({_latest()}) SELECT * FROM latest "
+    "WHERE id = (SELECT min(id) FROM latest) OR id = (SELECT max(id) FROM latest)"
+)
 ORACLE["batch_telemetry"] = _decoded() + (
     "SELECT 'users' AS query, 1 AS batches, count(*) AS rows, count(DISTINCT CASE WHEN v IS NOT NULL THEN id END) AS written, "
     "count(*) FILTER (WHERE v IS NULL OR id IS NULL) AS rejected FROM decoded"

@@ -163,7 +163,22 @@ def write_dead_letters(df: DataFrame, fmt: str, path_or_servers: str, batch_id:
 USERS_DDL_COLUMNS = ", ".join(f"{c} STRING" for c in USER_COLUMNS)
 
 
+def table_conflicts(spark: SparkSession, name: str) -> list[str]:
+    """Where the catalog's table ``name`` departs from the user contract; columns beside it are allowed."""
+    found = {f.name.lower(): f.dataType.simpleString() for f in spark.table(name).schema}
+    missing = [f"{c}: missing" for c in USER_COLUMNS if c.lower() not in found]
+    other = [f"{c}: {found[c.lower()]} instead of string" for c in USER_COLUMNS if found.get(c.lower(), "string") != "string"]
+    return missing + other
+
+
 def ensure_users_table(spark: SparkSession, name: str, location: str) -> DataFrame:
-    """Create the user table if missing (idempotent); returns it."""
+    """Create the user table if missing (idempotent); returns it.
+
+    A table of that name whose columns conflict with the contract is an error, found before
+    anything is written to it; it may have columns of its own.
+    """
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({USERS_DDL_COLUMNS}) USING parquet LOCATION '{location}'")
+    conflicts = table_conflicts(spark, name)
+    if conflicts:
+        raise ValueError(f"table {name} does not fit the user contract: {'; '.join(conflicts)}")
     return spark.table(name)
