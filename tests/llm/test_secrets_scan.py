@@ -1,6 +1,9 @@
+import base64
 import hashlib
 import random
 import re
+import string
+import zlib
 
 import pytest
 
@@ -74,10 +77,83 @@ def test_unspaced_assignments_are_parted_at_their_names(docs):
     assert redacted == "DB_PWD=[secret]\nPORT=1"
 
 
-def test_novelty_is_the_growth_of_the_compressed_text():
+def test_novelty_is_the_growth_against_that_of_random_strings():
     size = secrets_scan.compressor()
-    both, one = (len(size.compress(x)) for x in (b"a b " + KEY.encode(), b"a b"))
-    assert secrets_scan.novelty(size, KEY, "a", "b") == pytest.approx((both - one) / len(KEY))
+    contexts = [b"a b", b"a", b"b"]
+    alone = [len(size.compress(c)) for c in contexts]
+    rng = random.Random(zlib.crc32(KEY.encode()))
+    others = [secrets_scan.like(rng, KEY).encode() for _ in range(secrets_scan.DRAWS)]
+    own = sum(len(size.compress(c + b" " + KEY.encode())) - n for c, n in zip(contexts, alone, strict=True))
+    drawn = sum(len(size.compress(c + b" " + x)) - n for c, n in zip(contexts, alone, strict=True) for x in others)
+    assert secrets_scan.novelty(size, KEY, "a", "b") == pytest.approx(secrets_scan.DRAWS * own / drawn)
+
+
+ALPHABETS = {"base 64": string.ascii_letters + string.digits + "+/", "letters and digits": string.ascii_letters + string.digits, "hex": "0123456789ABCDEF", "base 32": string.ascii_uppercase + "234567"}
+
+
+@pytest.mark.parametrize("kind", ALPHABETS)
+def test_secrets_that_stand_together(kind):
+    size, rng = secrets_scan.compressor(), random.Random(11)
+    for n, files in ((1, 60), (2, 40), (10, 10)):
+        found = said = 0
+        for _ in range(files):
+            keys = ["".join(rng.choices(ALPHABETS[kind], k=rng.choice((32, 40, 64)))) for _ in range(n)]
+            text = "\n".join(f"DB_PWD_{i}={k}" for i, k in enumerate(keys))
+            left = secrets_scan.redact_text(size, text.encode())
+            found += sum(k not in left for k in keys)
+            said += n
+        assert found >= 0.95 * said, (kind, n, found, said)
+
+
+def test_a_secret_said_twice_is_found_twice():
+    size = secrets_scan.compressor()
+    text = f"DB_PWD={KEY}\nDB_PWD_COPY={KEY}\n"
+    assert KEY not in secrets_scan.redact_text(size, text.encode())
+
+
+WORDS = "customer billing region order invoice manager handler adapter parser legacy mapping pipeline worker replica metrics factory builder ledger batch stream window".split()
+
+
+def test_identifiers_and_prose_are_left_alone():
+    size, rng = secrets_scan.compressor(), random.Random(12)
+    flagged = 0
+    for i in range(400):
+        words = rng.choices(WORDS, k=rng.randrange(3, 6))
+        name = ["_".join(words), words[0] + "".join(w.capitalize() for w in words[1:]), "-".join(words), "get_session_" + "_".join(words)][i % 4]
+        flagged += any(x[0] == "novel" for x in secrets_scan.scan_text(size, f"the auth token goes to {name} and {rng.choice(WORDS)}".encode()))
+    assert flagged <= 0.08 * 400
+    said = "Keep the private key of your access card in a safe place, and never write the password on paper. " * 20
+    assert secrets_scan.scan_text(size, said.encode()) == []
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\\n", "\n    "])
+@pytest.mark.parametrize("head", ["", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"])
+def test_nothing_of_a_key_block_is_left(newline, head):
+    size, rng = secrets_scan.compressor(), random.Random(13)
+    for last in (1, 19, 30, 64):
+        lines = ["".join(rng.choices(ALPHABETS["base 64"], k=k)) for k in (*[64] * 24, last)]
+        block = f"-----BEGIN RSA PRIVATE KEY-----{newline}{head}{newline.join(lines)}=={newline}-----END RSA PRIVATE KEY-----{newline}"
+        left = secrets_scan.redact_text(size, f"x = 1\n{block}\ny = 2".encode())
+        assert not any(k in left.split("KEY-----", 1)[1].split("-----END")[0].replace("[secret]", "") for k in lines), left
+        assert left.startswith("x = 1\n-----BEGIN RSA") and left.endswith("y = 2")
+
+
+def test_nothing_of_a_web_token_is_left():
+    size, rng = secrets_scan.compressor(), random.Random(14)
+
+    def coded(raw):
+        return base64.urlsafe_b64encode(raw).decode().rstrip("=")
+
+    for i in range(60):
+        body = f'{{"sub":"{rng.randrange(10**9)}","name":"user {i}","iat":{rng.randrange(10**9)}}}'.encode()
+        web = f"{coded(b'{"alg":"HS256","typ":"JWT"}')}.{coded(body)}.{coded(rng.randbytes(32))}"
+        assert secrets_scan.redact_text(size, f"Authorization: Bearer {web} sent".encode()) == "Authorization: Bearer [secret] sent"
+
+
+def test_very_long_tokens_take_linear_time():
+    size = secrets_scan.compressor()
+    for text in ("x" * 400_000, "ab12." * 80_000, ("Ab1" * 20 + "\n") * 6_000, "a-b_c.d" * 60_000):
+        secrets_scan.scan_text(size, f"the key {text}".encode())
 
 
 def test_redaction_removes_every_span_and_keeps_rows(docs):
