@@ -12,6 +12,7 @@ DOCS = T.StructType([
     T.StructField("n_chars", T.LongType()),
     T.StructField("id", T.StringType()),  # clashes with names used inside the operators
     T.StructField("count", T.StringType()),
+    *(T.StructField(c, T.StringType()) for c in ("_gone", "_p", "_keep", "_lang", "_trusted", "_own_byte", "row", "keep")),
 ])
 
 
@@ -20,7 +21,7 @@ def docs(spark):
     """A documents frame from (doc_id, text) or (doc_id, text, lang) rows."""
 
     def make(rows):
-        full = [(r[0], r[1], r[2] if len(r) > 2 else "en", None, None if r[1] is None else len(r[1]), "x", None) for r in rows]
+        full = [(r[0], r[1], r[2] if len(r) > 2 else "en", None, None if r[1] is None else len(r[1]), "x", None, *["own"] * 8) for r in rows]
         return spark.createDataFrame(full, DOCS)
 
     return make

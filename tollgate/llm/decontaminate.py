@@ -109,5 +109,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` but for contaminated documents."""
-    gone = contamination(docs, benchmark).where("contaminated").select(F.col("id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = contamination(docs, benchmark).where("contaminated").select(F.col("id").alias("doc_id"))
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -188,5 +188,5 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_one(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
     """The rows of ``docs`` but for those that a document with a smaller id stands for."""
-    gone = simhash_groups(docs, shingle=shingle, most=most).where("component <> id").select(F.col("id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = simhash_groups(docs, shingle=shingle, most=most).where("component <> id").select(F.col("id").alias("doc_id"))
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
