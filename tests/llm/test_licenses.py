@@ -1,6 +1,6 @@
 import re
 
-from tollgate.llm import licenses, queries
+from tollgate.llm import license_texts, licenses, queries
 
 
 def plain_words(text):
@@ -61,6 +61,76 @@ def test_labels_of_plain_cases(docs):
 APART = ["CC (BY)", "cc - by 4.0", "see cc,\nby", "in the public\r\n  domain", "(public) -- (domain)", "all -- rights, reserved", "General \t Public: License"]
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use,
+copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+is furnished to do so"""
+MIT_END = """, subject to the following conditions: The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+AS_IS = """. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED"""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_END = " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"
+GNU = """This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License
+as published by the Free Software Foundation; either version {2} of the License, or (at your option) any later version."""
+
+TEXTS = [
+    (MIT + MIT_END + AS_IS, {"mit", "disclaimer"}),
+    (MIT + AS_IS, {"mit-0", "disclaimer"}),
+    (BSD + BSD_END, {"bsd", "bsd-2"}),
+    (BSD + " 3. Neither the name of the University of Somewhere nor the names of its contributors may be used to endorse or promote products derived from this software." + BSD_END, {"bsd", "bsd-3"}),
+    (BSD + " 3. All advertising materials mentioning features or use of this software must display the following acknowledgement: x." + BSD_END, {"bsd", "bsd-4"}),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", {"isc"}),
+    ('Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED "AS IS"', {"0bsd"}),
+    ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', {"apache-2.0"}),
+    ("You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", {"apache-2.0"}),
+    (GNU.format("program", "", "3"), {"gpl", "gpl-3.0-or-later"}),
+    (GNU.format("program", "", "2"), {"gpl", "gpl-2.0-or-later"}),
+    (GNU.format("library", "Lesser ", "2.1"), {"lgpl", "lgpl-2.1-or-later"}),
+    (GNU.format("thing", "Affero ", "3"), {"agpl", "agpl-3.0-or-later"}),
+    ("under the terms of the GNU General Public License as published by the Free Software Foundation, version 2 of the License.", {"gpl-2.0"}),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mpl-2.0"}),
+    ("This is free and unencumbered software released into the public domain.", {"unlicense"}),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", {"boost-1.0"}),
+    ("The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", {"zlib"}),
+    ("Copying and distribution of this file, with or without modification, are permitted in any medium without royalty provided the copyright notice and this notice are preserved.", {"all-permissive"}),
+    ("<a href='https://creativecommons.org/licenses/by-sa/4.0/'>", {"cc-by-sa-4.0"}),
+    ("Unauthorized copying of this file, via any medium is strictly prohibited", {"proprietary"}),
+    ("// SPDX-License-Identifier: MIT", {"mit"}),
+    ("# SPDX-License-Identifier: GPL-2.0-or-later", {"gpl-2.0-or-later"}),
+    ("# SPDX-License-Identifier: BSD-3-Clause", {"bsd-3"}),
+    ("/* SPDX-License-Identifier: LGPL-2.1-only */", {"lgpl-2.1"}),
+    ("software is sold with a permission slip and copyright law", set()),
+]
+
+
+def test_license_texts_headers_and_identifiers(docs):
+    got = {r["id"]: set(filter(None, r["labels"].split(","))) for r in licenses.scan(docs([(i, t) for i, (t, _) in enumerate(TEXTS)])).collect()}
+    for i, (text, want) in enumerate(TEXTS):
+        assert want - {"gpl", "lgpl"} <= got[i] and got[i] - want <= {"gpl", "lgpl", "bsd"}, (text, want, got[i])
+
+
+def test_texts_equal_brute_force(docs):
+    rows = [(i, t) for i, (t, _) in enumerate(TEXTS)] + [(100, ". ".join(t for t, _ in TEXTS))]
+    cols = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_detections")
+    got = {r["id"]: tuple(r[c] for c in cols) for r in licenses.scan(docs(rows)).collect()}
+    assert got == {i: brute(t) for i, t in rows}
+
+
+def test_every_identifier_and_every_keyword():
+    """An SPDX line gets the label of its own identifier, and no regex matches without its keyword."""
+    rules = licenses.rules()
+    for spdx in license_texts.SPDX:
+        norm = " " + " ".join(plain_words(f"SPDX-License-Identifier: {spdx}")) + " "
+        best = max(((m.end() - m.start(), label) for _, label, p, k, r in rules if p == 4 and k in norm for m in re.finditer(f"(?<= ){r}(?= )", norm)), key=lambda x: x[0])
+        assert best[1] == spdx.lower().removesuffix("-only").replace("-clause", ""), spdx
+    for text, _ in TEXTS:
+        norm = " " + " ".join(plain_words(text)) + " "
+        assert all(k in norm for *_, k, r in rules if re.search(f"(?<= ){r}(?= )", norm))
+
+
 def test_several_separators_inside_a_phrase(docs):
     cols = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_detections")
     got = {r["id"]: tuple(r[c] for c in cols) for r in licenses.scan(docs(list(enumerate(APART)))).collect()}

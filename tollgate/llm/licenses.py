@@ -1,5 +1,7 @@
 """License scan: ordered signature rules over whole texts, with DataFrame functions alone.
 
+The rules are the signatures of ``license_texts``, written by hand from license texts, file headers and identifiers, and
+below them names of licenses in the wordings in which texts speak of them.
 A text is reduced to lower-cased words, single-spaced.  A rule is a regex on that form, a label, a
 priority and a keyword; a rule runs on a document only if the document has the keyword.  A detection is
 dropped if a detection of higher priority, or of the same priority that is longer or stems from an
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .frames import plain, texts
+from .license_texts import signatures
 
 #: The phrases and labels of the base detections, which no rule suppresses.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -61,8 +64,8 @@ FAMILIES = [
     for parts in (("by",), ("by", "sa"), ("by", "nc"), ("by", "nd"), ("by", "nc", "sa"), ("by", "nc", "nd"))
 ]
 
-#: Every regex holds one of these, so a text without any of them is left at that.
-STEMS = ("licen", "apache", "gpl", "bsd", "cc by", "cc0", "unlicense", "wtfpl", "public domain", "reserved", "proprietary")
+#: Words that nearly every regex holds.
+BROAD = ("licen", "apache", "gpl", "bsd", "cc by", "cc0", "unlicense", "wtfpl", "public domain", "reserved", "proprietary", "this software", "permission")
 
 #: How a text may speak of a license; the surest first.
 WORDINGS = [
@@ -76,7 +79,7 @@ LATER = r" (?:or (?:\(?at your option\)? )?(?:any )?later(?: version)?|and later
 
 def rules() -> list[tuple[int, str, int, str, str]]:
     """(order, label, priority 1-4, keyword, regex), in the order in which they take precedence."""
-    found = []
+    found = [(label, priority, keyword, regex) for label, priority, keyword, regex in signatures()]
     for (label, keyword, name, versions), (kind, wording) in product(FAMILIES, WORDINGS):
         for version in (*versions, ""):
             short = version.removesuffix(".0")
@@ -91,6 +94,10 @@ def rules() -> list[tuple[int, str, int, str, str]]:
     return [(i, *r) for i, r in enumerate(found)]
 
 
+#: Every regex holds one of these, so a text without any of them is left at that.
+STEMS = (*BROAD, *sorted({k for *_, k, r in rules() if not any(s in r.replace("licen[cs]e", "license") for s in BROAD)}))
+
+
 def rule_table(spark: SparkSession) -> DataFrame:
     """The rules and, with priority 0, the base phrases: a few hundred constant rows."""
     base = [(-1 - i, label, 0, phrase, phrase) for i, (phrase, label) in enumerate(PHRASES.items())]
