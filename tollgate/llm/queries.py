@@ -37,11 +37,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id",
         "lang",
-        F.col("_p.n").alias("n_bytes"),
-        F.col("_p.byte").alias("byte_perplexity"),
+        F.col("_p.n").alias("n_words"),
         F.col("_p.word").alias("word_perplexity"),
-        F.col("_max_byte").alias("byte_threshold"),
+        F.col("_p.shape").alias("shape_perplexity"),
         F.col("_max_word").alias("word_threshold"),
+        F.col("_max_shape").alias("shape_threshold"),
         F.col("_keep").alias("keep"),
     )
 
