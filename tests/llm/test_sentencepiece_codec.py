@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -46,6 +47,26 @@ def test_words_forgotten_are_encoded_again(corpus):
             assert both.encode(said[at : at + 9]) == both.reference(said[at : at + 9])
 
 
+def test_words_of_the_generation_before_are_not_encoded_again():
+    with open(queries.MODEL_FILE, "rb") as f:
+        both = codec.Codec(f.read(), 2, words=2)
+    both.encode(["one two three"])
+    both.encode(["four"])
+    asked, fast = [], both.fast
+    both.fast = SimpleNamespace(encode_batch_fast=lambda new, **how: asked.extend(new) or fast.encode_batch_fast(new, **how))
+    texts = ["one two three", "four"]
+    assert both.encode(texts) == both.reference(texts) and asked == []
+
+
+def test_words_are_cut_before_their_marks(corpus):
+    with open(queries.MODEL_FILE, "rb") as f:
+        both = codec.Codec(f.read(), 2)
+    assert both.split("") == [] and both.split("a\x00▁b") == ["a\x00", "▁b"] and both.split("▁▁a▁b") == ["▁▁a", "▁b"]
+    for text in [t or "" for _, t in corpus] + STRANGE:
+        words = both.split(both.normalise(text))
+        assert "".join(words) == both.normalise(text) and all(words) and not any("▁" in w.lstrip("▁") for w in words)
+
+
 def test_repeated_rows_null_ids_and_empty_tables(docs):
     got = codec.encode(docs([(1, "a b"), (1, "a b"), (None, "c"), (2, None)]), queries.MODEL_FILE).collect()
     assert sorted((r["id"] or 0, r["n_tokens"] > 0) for r in got) == [(0, True), (1, True), (1, True), (2, False)]

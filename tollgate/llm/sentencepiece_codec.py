@@ -127,7 +127,8 @@ class Codec:
     """Encoder and decoder of one model, with SentencePiece beside them for parity.
 
     Where no piece goes on past a word's end, words are encoded by themselves, each once as long as it
-    is among the last ``words`` different ones.  Ids are little-endian 32-bit integers.
+    is among the last ``words`` different ones; the memory holds two such generations.  Ids are
+    little-endian 32-bit integers.
     """
 
     def __init__(self, raw: bytes, threads: int, words: int = 200_000):
@@ -138,10 +139,10 @@ class Codec:
         self.own = sentencepiece.SentencePieceProcessor(model_proto=raw)
         self.words = words
         self.charsmap = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
-        apart = all(MARK not in p.lstrip(MARK) for p, *_ in self.model.pieces)
-        self.split = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall if apart else lambda text: [text] if text else []
+        self.apart = all(MARK not in p.lstrip(MARK) for p, *_ in self.model.pieces)
         self.known: dict[str, bytes] = {}
-        self.bytes_of = [self._bytes(p, kind) for p, _, kind in self.model.pieces]
+        self.before: dict[str, bytes] = {}
+        self.bytes_of = np.array([self._bytes(p, kind) for p, _, kind in self.model.pieces], object)
 
     def _bytes(self, piece: str, kind: int) -> bytes:
         if kind == BYTE:
@@ -159,23 +160,37 @@ class Codec:
             text = " " + text
         return text.replace(" ", MARK) if self.model.escape else text
 
+    def split(self, text: str) -> list[str]:
+        """Words with the marks before them; the whole text where pieces go on past a word's end."""
+        if not self.apart:
+            return [text] if text else []
+        if 2 * MARK in text or "\0" in text:
+            return re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text)
+        words = text.replace(MARK, "\0" + MARK).split("\0")
+        return words if words[0] else words[1:]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text; words not yet known are encoded together, on several threads."""
         cut = [self.split(self.normalise(t)) for t in texts]
-        own = set().union(*cut)
-        if len(self.known) > self.words:  # this batch's words stay, the common ones among them
-            self.known = {w: self.known[w] for w in own & self.known.keys()}
-        new = list(own - self.known.keys())
+        if len(self.known) > self.words:
+            self.known, self.before = {}, self.known
+        new = []
+        for w in set().union(*cut).difference(self.known):
+            ids = self.before.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.known[w] = ids
         for word, e in zip(new, self.fast.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self.known[word] = packed(e.ids)
-        return [b"".join([self.known[w] for w in words]) for words in cut]
+        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
     def reference(self, texts: list[str]) -> list[bytes]:
         """SentencePiece's own ids of whole texts, on one thread, which takes the least work."""
-        return [packed(i) for i in self.own.encode(texts, num_threads=1)]
+        return [i.astype("<i4", copy=False).tobytes() for i in self.own.encode(texts, out_type="numpy", num_threads=1)]
 
-    def decode(self, ids: list[int]) -> str:
-        raw = b"".join([self.bytes_of[i] for i in ids])
+    def decode(self, ids: np.ndarray | list[int]) -> str:
+        raw = b"".join(self.bytes_of[np.asarray(ids, np.int64)].tolist())
         if self.model.dummy_prefix and raw[:1] == b" ":
             raw = raw[1:]
         return raw.decode(errors="replace")
@@ -203,7 +218,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
                 found = codec.encode(texts)
                 parity = [a == w for a, w in zip(found, codec.reference(texts), strict=True)]
                 ids = [np.frombuffer(i, "<i4") for i in found]
-                trip = [codec.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)]
+                trip = [codec.decode(i) == t for i, t in zip(ids, texts, strict=True)]
                 digest = [hashlib.sha256(i).hexdigest() for i in found]
                 kept = pa.array(ids if keep_ids else [None] * len(ids), pa.list_(pa.int32()))
                 n = pa.array([len(i) for i in ids], pa.int64())
