@@ -3,6 +3,15 @@ from pyspark.sql import functions as F
 from tollgate.plans import fixtures as FX
 
 
+def _tables(spark, path, ids):
+    """customer (in one file), nation and region of the given customer ids."""
+    rows = ids.select("c_custkey", F.lit("C").alias("c_name"), F.lit(0).cast("long").alias("c_nationkey"), F.lit("KILNS").alias("c_mktsegment"))
+    rows.coalesce(1).write.parquet(f"{path}/customer.parquet")
+    spark.createDataFrame([(0, "A", 0)], "n_nationkey long, n_name string, n_regionkey long").write.parquet(f"{path}/nation.parquet")
+    spark.createDataFrame([(0, "R")], "r_regionkey long, r_name string").write.parquet(f"{path}/region.parquet")
+    return str(path)
+
+
 def test_responses_of_one_small_file_are_dealt_out_and_none_is_lost(spark, tmp_path):
     n = 200_000
     ids = spark.range(n).union(spark.range(5))  # five rows come twice, id 0 is null
@@ -15,3 +24,11 @@ def test_responses_of_one_small_file_are_dealt_out_and_none_is_lost(spark, tmp_p
     got = out.agg(F.count("*").alias("n"), F.count("response_id").alias("known")).collect()
     assert max(r["n"] for r in got) < n / 2
     assert (sum(r["n"] for r in got), sum(r["known"] for r in got)) == (n + 5, n + 3)
+
+
+def test_rows_of_a_few_bytes_are_dealt_out_too(spark, tmp_path):
+    n = 4_000
+    path = _tables(spark, tmp_path, spark.range(n).withColumnRenamed("id", "c_custkey"))
+    got = FX.raw_responses(spark, path).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in got) == n
+    assert len(got) > int(spark.conf.get("spark.sql.shuffle.partitions")) / 2
