@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tollgate.plans import catalog
 from tollgate.plans import fixtures as FX
 
 
@@ -32,3 +33,17 @@ def test_rows_of_a_few_bytes_are_dealt_out_too(spark, tmp_path):
     got = FX.raw_responses(spark, path).groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in got) == n
     assert len(got) > int(spark.conf.get("spark.sql.shuffle.partitions")) / 2
+
+
+def test_only_wanted_responses_are_built_once_for_each_match(spark, tmp_path):
+    keys = [1, 2, 2, 3, None]
+    path = _tables(spark, tmp_path, spark.createDataFrame([(k,) for k in keys], "c_custkey long"))
+    due = spark.createDataFrame([(2, 1), (2, 1), (3, 2), (9, 1), (None, 1)], "fetch_id long, attempt int")
+    got = catalog._fetch_again(spark, path, "2024-01-31 02:10:00")(due)
+    assert sorted((r["fetch_id"], r["attempt"]) for r in got.collect()) == [(2, 1)] * 4 + [(3, 2)]
+    bodies = {r["response_id"]: r["body"] for r in FX.raw_responses(spark, path).collect()}
+    assert all(r["body"] == bodies[r["fetch_id"]] for r in got.collect())
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    built = next(i for i, line in enumerate(plan) if '{"results":[{' in line)
+    joined = next(i for i, line in enumerate(plan) if "Join Inner" in line and "fetch_id" in line)
+    assert built < joined  # the body's projection stands above the join
